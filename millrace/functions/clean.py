@@ -20,9 +20,12 @@ FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_FLOAT_RE = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 INT_RE = r"^[+-]?[0-9]+$"
 
-# Dates outside the range of a 64-bit nanosecond clock count as unparseable.
-FIRST_DATE = "1677-09-22"
-LAST_DATE = "2262-04-11"
+# Dates outside the range of a 64-bit nanosecond clock, 1677-09-22 to 2262-04-11,
+# count as unparseable.
+DATE_RANGE_RE = (
+    "^(1677:(0?9:(2[2-9]|30)|1[0-2]:[0-9]+)|16(7[89]|[89][0-9]):.*|1[7-9][0-9]{2}:.*"
+    "|2[01][0-9]{2}:.*|22([0-5][0-9]|6[01]):.*|2262:(0?[1-3]:[0-9]+|0?4:(0?[1-9]|1[01])))$"
+)
 
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 MONTH_RE = (
@@ -30,7 +33,7 @@ MONTH_RE = (
     "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 TIME_RE = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?[AaPp][Mm])?Z?$"
-ISO_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+ISO_RE = "^(1[7-9]|2[01])[0-9]{2}-[0-9]{1,2}-[0-9]{1,2}$"
 
 # Accepted shapes and how each rewrites to year:month:day. The colon keeps a rewritten value out of
 # the shapes that follow. Two-part ambiguity is resolved month first; a first part above 12 can only
@@ -67,10 +70,6 @@ def clean_text(c: Column) -> Column:
     return F.nullif(_strip(c), F.lit(""))
 
 
-def _in_range(d: Column) -> Column:
-    return F.when(d.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), d)
-
-
 def _rewrite(c: Column, shapes: list[tuple[str, str]], century_from: int) -> Column:
     """Text of one of the shapes as ``year:month:day`` with a four-digit year, one pass per shape."""
     for pattern, order in shapes:
@@ -82,7 +81,7 @@ def _rewrite(c: Column, shapes: list[tuple[str, str]], century_from: int) -> Col
 
 def _as_date(c: Column) -> Column:
     """Date of ``year:month:day``; any other text, and an impossible day, is NULL."""
-    return F.translate(F.nullif(F.regexp_extract(c, "^[0-9]{4}:.*", 0), F.lit("")), ":", "-").try_cast("date")
+    return F.translate(F.regexp_extract(c, DATE_RANGE_RE, 0), ":", "-").try_cast("date")
 
 
 def _named(c: Column, shapes: list[tuple[str, str]], century_from: int) -> Column:
@@ -99,12 +98,11 @@ def clean_date(c: Column, century_from: int = CENTURY_FROM) -> Column:
     """
     s = _strip(c)
     dated = F.regexp_replace(s, TIME_RE, "")
-    date = (
+    return (
         F.when(s.rlike(ISO_RE), s.try_cast("date"))
         .when(dated.rlike("[A-Za-z]"), _named(dated, NAMED_DATE_SHAPES, century_from))
         .otherwise(_as_date(_rewrite(dated, DATE_SHAPES, century_from)))
     )
-    return _in_range(date)
 
 
 def clean_date_dmy(c: Column) -> Column:
@@ -116,7 +114,7 @@ def clean_date_dmy(c: Column) -> Column:
     dashed = F.when(s.rlike("[A-Za-z]"), _named(s, NAMED_DMY_SHAPES, DMY_CENTURY_FROM)).otherwise(
         _as_date(_rewrite(s, DMY_SHAPES, DMY_CENTURY_FROM))
     )
-    return F.when(s.contains("-"), _in_range(dashed)).otherwise(clean_date(s))
+    return F.when(s.contains("-"), dashed).otherwise(clean_date(s))
 
 
 def clean_numeric(c: Column) -> Column:

@@ -14,6 +14,7 @@ def build_session(name: str = "millrace", cores: str = "*") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
