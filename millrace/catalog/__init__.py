@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from millrace.catalog import scalars
+from millrace.catalog import dedups, merges, scalars
 from millrace.catalog.base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "scalars"]
+__all__ = ["QUERIES", "SQL", "dedups", "merges", "scalars"]
