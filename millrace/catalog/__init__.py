@@ -1,6 +1,16 @@
 """All registered queries by name."""
 
-from millrace.catalog import dedups, merges, scalars
+from millrace.catalog import dedups, merges, projection, reports, scalars, scans, streams
 from millrace.catalog.base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "dedups", "merges", "scalars"]
+__all__ = [
+    "QUERIES",
+    "SQL",
+    "dedups",
+    "merges",
+    "projection",
+    "reports",
+    "scalars",
+    "scans",
+    "streams",
+]
