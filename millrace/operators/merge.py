@@ -1,7 +1,8 @@
 """Merge policies: a target snapshot and an incoming batch give a new snapshot and an action per row.
 
-Key equality is SQL ``=``, so rows with an incomplete key never meet and are inserted on every run;
-they bypass the joins. On a match the incoming value wins even when it is NULL.
+Key equality is SQL ``=``, so rows with an incomplete key never meet and are inserted on every run:
+stored ones bypass the joins, incoming ones are spread over them. On a match the incoming value wins
+even when it is NULL.
 
 Where the key is declared unique, both sides hold a key once and one full outer join does the merge.
 Where it is not, copies may pile up on either side, so updates and inserts are two joins that split
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import keep_last
 from millrace.operators.match import classify_changes, new_rows
-from millrace.operators.skew import HOT_ROWS, incomplete, spread_join
+from millrace.operators.skew import HOT_ROWS, incomplete, null_slot, spread_join
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -52,17 +53,25 @@ def upsert(
     checked to fit a broadcast: the target is then streamed past it and not shuffled.
     """
     cols = target.columns
-    incoming = source.select(cols)
-    fresh, stored = incoming.where(~incomplete(keys)), target.where(~incomplete(keys))
-    loose = target.where(incomplete(keys)).unionByName(incoming.where(incomplete(keys)))
+    stored, loose = target.where(~incomplete(keys)), target.where(incomplete(keys))
     if small_source:
-        updated = update_matches(stored, F.broadcast(fresh), keys, update)
+        fresh = source.select(cols)
         known = stored.select(keys).join(F.broadcast(fresh.select(keys)), keys, "left_semi")
-        merged = updated.unionByName(fresh.join(known, keys, "left_anti"))
+        merged = update_matches(stored, F.broadcast(fresh), keys, update).unionByName(
+            fresh.join(known, keys, "left_anti")
+        )
     else:
-        s = fresh.select(F.struct(*cols).alias("s"), *[F.col(k).alias(f"_s_{k}") for k in keys])
-        t = stored.select(F.struct(*cols).alias("t"), *[F.col(k).alias(f"_t_{k}") for k in keys])
-        on = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]
+        s = source.select(
+            F.struct(*cols).alias("s"),
+            *[F.col(k).alias(f"_s_{k}") for k in keys],
+            null_slot(keys, order).alias("_s_slot"),
+        )
+        t = stored.select(
+            F.struct(*cols).alias("t"),
+            *[F.col(k).alias(f"_t_{k}") for k in keys],
+            F.lit(0).alias("_t_slot"),
+        )
+        on = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in [*keys, "slot"]]
 
         def pick(c: str) -> Column:
             if c in update:
