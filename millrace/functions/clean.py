@@ -27,11 +27,15 @@ DATE_RANGE_RE = (
     "|2[01][0-9]{2}:.*|22([0-5][0-9]|6[01]):.*|2262:(0?[1-3]:[0-9]+|0?4:(0?[1-9]|1[01])))$"
 )
 
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+NAMED_RANGE_RE = (
+    "^(16(7[89]|[89][0-9])|1[7-9][0-9]{2}|2[01][0-9]{2}|22([0-5][0-9]|6[01])):[A-Za-z]{3}:[0-9]+$"
+)
+
 MONTH_RE = (
-    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+    "(?i)(?:^|[^a-z])(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)(?:[^a-z]|$)"
 )
+MON = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
 TIME_RE = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?[AaPp][Mm])?Z?$"
 ISO_RE = "^(1[7-9]|2[01])[0-9]{2}-[0-9]{1,2}-[0-9]{1,2}$"
 
@@ -45,14 +49,12 @@ DATE_SHAPES = [
     (r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4}|[0-9]{2})$", "$3:$2:$1"),
 ]
 NAMED_DATE_SHAPES = [
-    (rf"(?i)^([0-9]{{1,2}})[-/. ]({MONTH_RE})[-/. ,]+([0-9]{{4}}|[0-9]{{2}})$", "$3:$2:$1"),
-    (rf"(?i)^([0-9]{{4}})[-/. ]({MONTH_RE})[-/. ]([0-9]{{1,2}})$", "$1:$2:$3"),
-    (rf"(?i)^({MONTH_RE})[ -]([0-9]{{1,2}})[ ,-]+([0-9]{{4}})$", "$3:$1:$2"),
+    (rf"(?i)^([0-9]{{1,2}})[-/. ]{MON}[-/. ,]+([0-9]{{4}}|[0-9]{{2}})$", "$3:$2:$1"),
+    (rf"(?i)^([0-9]{{4}})[-/. ]{MON}[-/. ]([0-9]{{1,2}})$", "$1:$2:$3"),
+    (rf"(?i)^{MON}[ -]([0-9]{{1,2}})[ ,-]+([0-9]{{4}})$", "$3:$1:$2"),
 ]
 DMY_SHAPES = [(r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4}|[0-9]{2})$", "$3:$2:$1")]
-NAMED_DMY_SHAPES = [
-    (rf"(?i)^([0-9]{{1,2}})-({MONTH_RE})-([0-9]{{4}}|[0-9]{{2}})$", "$3:$2:$1")
-]
+NAMED_DMY_SHAPES = [(rf"(?i)^([0-9]{{1,2}})-{MON}-([0-9]{{4}}|[0-9]{{2}})$", "$3:$2:$1")]
 
 # First year of the hundred that two-digit years fall into: fifty years before the run year.
 CENTURY_FROM = 1976
@@ -84,11 +86,10 @@ def _as_date(c: Column) -> Column:
     return F.translate(F.regexp_extract(c, DATE_RANGE_RE, 0), ":", "-").try_cast("date")
 
 
-def _named(c: Column, shapes: list[tuple[str, str]], century_from: int) -> Column:
-    parts = F.split(_rewrite(c, shapes, century_from), ":")
-    month = F.lower(F.substring(F.get(parts, 1), 1, 3))
-    number = ((F.instr(F.lit(MONTHS), month) + F.lit(2)) / F.lit(3)).cast("int").cast("string")
-    return _as_date(F.concat(F.get(parts, 0), F.lit(":"), number, F.lit(":"), F.get(parts, 2)))
+def _as_named_date(c: Column) -> Column:
+    """Date of ``year:mon:day`` with a month name."""
+    known = F.nullif(F.regexp_extract(c, NAMED_RANGE_RE, 0), F.lit(""))
+    return F.try_to_timestamp(known, F.lit("y:MMM:d")).cast("date")
 
 
 def clean_date(c: Column, century_from: int = CENTURY_FROM) -> Column:
@@ -100,7 +101,10 @@ def clean_date(c: Column, century_from: int = CENTURY_FROM) -> Column:
     dated = F.regexp_replace(s, TIME_RE, "")
     return (
         F.when(s.rlike(ISO_RE), s.try_cast("date"))
-        .when(dated.rlike("[A-Za-z]"), _named(dated, NAMED_DATE_SHAPES, century_from))
+        .when(
+            dated.rlike(MONTH_RE),
+            _as_named_date(_rewrite(dated, NAMED_DATE_SHAPES, century_from)),
+        )
         .otherwise(_as_date(_rewrite(dated, DATE_SHAPES, century_from)))
     )
 
@@ -111,9 +115,9 @@ def clean_date_dmy(c: Column) -> Column:
     Four-digit-first text such as ``2025-01-05`` does not fit the rule and becomes NULL.
     """
     s = _strip(c)
-    dashed = F.when(s.rlike("[A-Za-z]"), _named(s, NAMED_DMY_SHAPES, DMY_CENTURY_FROM)).otherwise(
-        _as_date(_rewrite(s, DMY_SHAPES, DMY_CENTURY_FROM))
-    )
+    dashed = F.when(
+        s.rlike(MONTH_RE), _as_named_date(_rewrite(s, NAMED_DMY_SHAPES, DMY_CENTURY_FROM))
+    ).otherwise(_as_date(_rewrite(s, DMY_SHAPES, DMY_CENTURY_FROM)))
     return F.when(s.contains("-"), dashed).otherwise(clean_date(s))
 
 
