@@ -41,4 +41,4 @@ def classify_changes(
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_old.{c}"))
     change = F.when(F.col("_old").isNull(), "new").when(same, "unchanged").otherwise("changed")
-    return joined.select(*[F.col(c) for c in source.columns], change.alias("change"))
+    return joined.select(*source.columns, change.alias("change"))

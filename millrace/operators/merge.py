@@ -11,12 +11,14 @@ hot keys (``operators.skew``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.dedup import keep_last
+from millrace.operators.dedup import keep_first, keep_last
 from millrace.operators.match import classify_changes, new_rows
 from millrace.operators.skew import HOT_ROWS, incomplete, null_slot, spread_join
 
@@ -25,18 +27,46 @@ INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
 @dataclass(frozen=True)
 class MergeResult:
-    """``snapshot`` has the columns of the target, ``actions`` those of the source plus ``action``."""
+    """``snapshot`` has the columns of the target, ``actions`` those of the source plus ``action``.
+
+    The action plan is only built when asked for.
+    """
 
     snapshot: DataFrame
-    actions: DataFrame
+    build_actions: Callable[[], DataFrame]
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return self.build_actions()
+
+
+def name(alias: str, column: str) -> str:
+    return f"{alias}.`{column}`"
 
 
-def _actions(source: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def matched_actions(
+    source: DataFrame, target: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
     """Insert or update for each source row, from the target's keys alone."""
     stored = target.where(~incomplete(keys)).select(keys).distinct().withColumn("_hit", F.lit(True))
     joined = spread_join(source, stored, keys, order, "left")
     action = F.when(F.col("_hit"), UPDATE).otherwise(INSERT)
-    return joined.select(*[F.col(c) for c in source.columns], action.alias("action"))
+    return joined.select(*source.columns, action.alias("action"))
+
+
+def ordered_actions(
+    source: DataFrame, target: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
+    """Actions of rows applied one after another: of a new key the first row inserts, the rest update."""
+    slim = source.where(~incomplete(keys)).select(list(dict.fromkeys([*keys, *order])))
+    first = keep_first(slim, keys, order).select(*order, F.lit(True).alias("_opens"))
+    opens = F.col("_opens") | incomplete(keys)
+    return (
+        matched_actions(source, target, keys, order)
+        .join(first, order, "left")
+        .withColumn("action", F.when(opens, F.col("action")).otherwise(UPDATE))
+        .select(*source.columns, "action")
+    )
 
 
 def upsert(
@@ -62,34 +92,56 @@ def upsert(
         )
     else:
         s = source.select(
-            F.struct(*cols).alias("s"),
+            F.expr(as_struct(cols)).alias("s"),
             *[F.col(k).alias(f"_s_{k}") for k in keys],
             null_slot(keys, order).alias("_s_slot"),
         )
         t = stored.select(
-            F.struct(*cols).alias("t"),
+            F.expr(as_struct(cols)).alias("t"),
             *[F.col(k).alias(f"_t_{k}") for k in keys],
             F.lit(0).alias("_t_slot"),
         )
         on = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in [*keys, "slot"]]
 
-        def pick(c: str) -> Column:
-            if c in update:
-                return F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-            return F.when(F.col("t").isNotNull(), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
+        def pick(c: str) -> str:
+            first, second = ("s", "t") if c in update else ("t", "s")
+            return (
+                f"CASE WHEN {first} IS NOT NULL THEN {name(first, c)} ELSE {name(second, c)} END AS `{c}`"
+            )
 
-        merged = t.join(s, on, "full_outer").select([pick(c).alias(c) for c in cols])
-    return MergeResult(merged.unionByName(loose), _actions(source, target, keys, order))
+        merged = t.join(s, on, "full_outer").selectExpr([pick(c) for c in cols])
+    return MergeResult(
+        merged.unionByName(loose), lambda: matched_actions(source, target, keys, order)
+    )
+
+
+def as_struct(cols: list[str]) -> str:
+    return "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
+
+
+def _values(values: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
+    """Keys and the new values; the literal keeps the struct apart from an absent match."""
+    fields = ", ".join(["1 AS _hit", *[f"`{c}`" for c in update]])
+    return values.selectExpr(*[f"`{k}`" for k in keys], f"struct({fields}) AS _new")
+
+
+def _apply(joined: DataFrame, cols: list[str], update: list[str]) -> DataFrame:
+    return joined.selectExpr(
+        [
+            f"CASE WHEN _new IS NOT NULL THEN {name('_new', c)} ELSE `{c}` END AS `{c}`"
+            if c in update
+            else f"`{c}`"
+            for c in cols
+        ]
+    )
 
 
 def update_matches(
     target: DataFrame, values: DataFrame, keys: list[str], update: list[str]
 ) -> DataFrame:
     """Target rows with the ``update`` columns replaced wherever ``values`` has the key."""
-    new = values.select(
-        *keys, F.struct(F.lit(1).alias("_hit"), *[F.col(c) for c in update]).alias("_new")
-    )
-    return _apply(target.join(new, keys, "left"), target.columns, update)
+    joined = target.join(_values(values, keys, update), keys, "left")
+    return _apply(joined, target.columns, update)
 
 
 def update_matches_spread(
@@ -100,27 +152,14 @@ def update_matches_spread(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``update_matches`` for a stored target that may hold a key many times, whole copies included."""
-    new = values.select(
-        *keys, F.struct(F.lit(1).alias("_hit"), *[F.col(c) for c in update]).alias("_new")
-    )
-    joined = spread_join(target, new, keys, None, "left", hot_rows)
+    joined = spread_join(target, _values(values, keys, update), keys, None, "left", hot_rows)
     return _apply(joined, target.columns, update)
 
 
-def _apply(joined: DataFrame, cols: list[str], update: list[str]) -> DataFrame:
-    hit = F.col("_new").isNotNull()
-    return joined.select(
-        [
-            F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-            for c in cols
-        ]
-    )
-
-
 def append(target: DataFrame, source: DataFrame) -> MergeResult:
     return MergeResult(
         target.unionByName(source.select(target.columns)),
-        source.withColumn("action", F.lit(INSERT)),
+        lambda: source.withColumn("action", F.lit(INSERT)),
     )
 
 
@@ -139,11 +178,12 @@ def contact_only(
     arriving = source.select("file_path").distinct()
     seen = target.select("file_path").distinct().join(arriving, "file_path", "left_semi")
     batch = spread_join(source, seen, ["file_path"], order, "left_anti", hot_rows)
-    actions = _actions(batch, target, keys, order)
     last = keep_last(batch.where(~incomplete(keys)), keys, order)
     updated = update_matches_spread(target, last, keys, contact, hot_rows)
     inserted = new_rows(batch, target, keys, order, hot_rows).select(target.columns)
-    return MergeResult(updated.unionByName(inserted), actions)
+    return MergeResult(
+        updated.unionByName(inserted), lambda: matched_actions(batch, target, keys, order)
+    )
 
 
 def if_changed(
@@ -165,8 +205,10 @@ def if_changed(
         .when(F.col("change") == "changed", UPDATE)
         .otherwise(UNCHANGED)
     )
-    actions = judged.select(*[F.col(c) for c in source.columns], action.alias("action"))
-    return MergeResult(updated.unionByName(inserted), actions)
+    return MergeResult(
+        updated.unionByName(inserted),
+        lambda: judged.select(*source.columns, action.alias("action")),
+    )
 
 
 def last_wins(
@@ -192,20 +234,17 @@ def last_wins(
         .agg(
             F.max_by(F.struct(*payload), at).alias("_last"),
             F.min_by(F.struct(*lineage), at).alias("_first"),
-            F.min(at).alias("_at"),
         )
-        .select(*keys, "_last.*", "_first.*", F.col("_at"))
+        .select(*keys, "_last.*", "_first.*")
     )
     updated = update_matches_spread(target, ends, keys, payload, hot_rows)
     stored = target.where(~incomplete(keys)).select(keys).distinct()
     added = ends.join(stored, keys, "left_anti")
     loose = source.where(incomplete(keys)).select(cols)
-    opening = added.select("_at.*").withColumn("_opens", F.lit(True))
-    action = F.when(F.col("_opens") | incomplete(keys), INSERT).otherwise(UPDATE)
-    actions = source.join(opening, order, "left").select(
-        *[F.col(c) for c in source.columns], action.alias("action")
+    return MergeResult(
+        updated.unionByName(added.select(cols)).unionByName(loose),
+        lambda: ordered_actions(source, target, keys, order),
     )
-    return MergeResult(updated.unionByName(added.select(cols)).unionByName(loose), actions)
 
 
 def present_keys(candidates: list[str], columns: list[str]) -> list[str]:

@@ -113,6 +113,10 @@ def plan_feed(
             result = merge.if_changed(target, source, keys, list(spec.tracked), update, order)
         case "last_wins":
             result = merge.last_wins(target, source, keys, list(spec.kinds), list(LINEAGE), order)
+    if source is not batch:
+        result = merge.MergeResult(
+            result.snapshot, lambda: merge.ordered_actions(batch, target, keys, order)
+        )
     return FeedPlan(result, duplicates, dropped)
 
 

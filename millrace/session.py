@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,7 @@ def build_session(name: str = "millrace", cores: str = "*") -> SparkSession:
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
@@ -22,19 +24,22 @@ def build_session(name: str = "millrace", cores: str = "*") -> SparkSession:
     )
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"millrace-{application}-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session without that setting falls back to a temporary folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -32,6 +32,7 @@ def ingest_feed(
     """
     reader = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
     )
