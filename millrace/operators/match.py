@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import HOT_ROWS, spread_join
 
 
+def near_keys(target: DataFrame, source: DataFrame, keys: list[str], small_source: bool) -> DataFrame:
+    """Target rows that can matter to the source. For a batch that was checked to fit a broadcast, the
+    target is filtered by its keys while being read, and only matches are left to shuffle."""
+    if not small_source:
+        return target
+    return target.join(F.broadcast(source.select(keys).distinct()), keys, "left_semi")
+
+
 def existing_rows(
     source: DataFrame, target: DataFrame, keys: list[str], row_id: list[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -16,10 +24,15 @@ def existing_rows(
 
 
 def new_rows(
-    source: DataFrame, target: DataFrame, keys: list[str], row_id: list[str], hot_rows: int = HOT_ROWS
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    row_id: list[str],
+    hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> DataFrame:
     """Rows with a key the target lacks; rows with an incomplete key are new too."""
-    stored = target.select(keys).distinct()
+    stored = near_keys(target.select(keys), source, keys, small_source).distinct()
     return spread_join(source, stored, keys, row_id, "left_anti", hot_rows).select(source.columns)
 
 
@@ -30,12 +43,14 @@ def classify_changes(
     tracked: list[str],
     row_id: list[str],
     hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> DataFrame:
     """Source rows plus ``change``: new, changed or unchanged on the tracked columns, NULL-safe.
 
     A key stored more than once is judged by one of its rows, the largest tracked values.
     """
-    stored = target.groupBy(*keys).agg(F.max(F.struct(*tracked)).alias("_old"))
+    near = near_keys(target.select(*keys, *tracked), source, keys, small_source)
+    stored = near.groupBy(*keys).agg(F.max(F.struct(*tracked)).alias("_old"))
     joined = spread_join(source, stored, keys, row_id, "left", hot_rows)
     same = F.lit(True)
     for c in tracked:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import keep_first, keep_last
-from millrace.operators.match import classify_changes, new_rows
+from millrace.operators.match import classify_changes, near_keys, new_rows
 from millrace.operators.skew import HOT_ROWS, incomplete, null_slot, spread_join
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -40,29 +40,35 @@ class MergeResult:
         return self.build_actions()
 
 
-def name(alias: str, column: str) -> str:
-    return f"{alias}.`{column}`"
-
-
 def matched_actions(
-    source: DataFrame, target: DataFrame, keys: list[str], order: list[str]
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    order: list[str],
+    small_source: bool = False,
 ) -> DataFrame:
     """Insert or update for each source row, from the target's keys alone."""
-    stored = target.where(~incomplete(keys)).select(keys).distinct().withColumn("_hit", F.lit(True))
+    known = target.where(~incomplete(keys)).select(keys)
+    near = near_keys(known, source, keys, small_source)
+    stored = near.distinct().withColumn("_hit", F.lit(True))
     joined = spread_join(source, stored, keys, order, "left")
     action = F.when(F.col("_hit"), UPDATE).otherwise(INSERT)
     return joined.select(*source.columns, action.alias("action"))
 
 
 def ordered_actions(
-    source: DataFrame, target: DataFrame, keys: list[str], order: list[str]
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    order: list[str],
+    small_source: bool = False,
 ) -> DataFrame:
     """Actions of rows applied one after another: of a new key the first row inserts, the rest update."""
     slim = source.where(~incomplete(keys)).select(list(dict.fromkeys([*keys, *order])))
     first = keep_first(slim, keys, order).select(*order, F.lit(True).alias("_opens"))
     opens = F.col("_opens") | incomplete(keys)
     return (
-        matched_actions(source, target, keys, order)
+        matched_actions(source, target, keys, order, small_source)
         .join(first, order, "left")
         .withColumn("action", F.when(opens, F.col("action")).otherwise(UPDATE))
         .select(*source.columns, "action")
@@ -87,72 +93,59 @@ def upsert(
     if small_source:
         fresh = source.select(cols)
         known = stored.select(keys).join(F.broadcast(fresh.select(keys)), keys, "left_semi")
-        merged = update_matches(stored, F.broadcast(fresh), keys, update).unionByName(
+        merged = update_matches(stored, fresh, keys, update, small_source=True).unionByName(
             fresh.join(known, keys, "left_anti")
         )
     else:
-        s = source.select(
-            F.expr(as_struct(cols)).alias("s"),
-            *[F.col(k).alias(f"_s_{k}") for k in keys],
-            null_slot(keys, order).alias("_s_slot"),
-        )
-        t = stored.select(
-            F.expr(as_struct(cols)).alias("t"),
-            *[F.col(k).alias(f"_t_{k}") for k in keys],
-            F.lit(0).alias("_t_slot"),
-        )
-        on = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in [*keys, "slot"]]
+        s = source.select(*cols, null_slot(keys, order).alias("_slot"), F.lit(True).alias("_in"))
+        t = stored.select(*cols, F.lit(0).alias("_slot"), F.lit(True).alias("_in"))
+        on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_slot"]]
 
         def pick(c: str) -> str:
             first, second = ("s", "t") if c in update else ("t", "s")
-            return (
-                f"CASE WHEN {first} IS NOT NULL THEN {name(first, c)} ELSE {name(second, c)} END AS `{c}`"
-            )
+            return f"CASE WHEN {first}._in THEN {first}.`{c}` ELSE {second}.`{c}` END AS `{c}`"
 
-        merged = t.join(s, on, "full_outer").selectExpr([pick(c) for c in cols])
+        merged = t.alias("t").join(s.alias("s"), on, "full_outer").selectExpr([pick(c) for c in cols])
     return MergeResult(
-        merged.unionByName(loose), lambda: matched_actions(source, target, keys, order)
+        merged.unionByName(loose),
+        lambda: matched_actions(source, target, keys, order, small_source),
     )
 
 
-def as_struct(cols: list[str]) -> str:
-    return "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
-
-
 def _values(values: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
-    """Keys and the new values; the literal keeps the struct apart from an absent match."""
-    fields = ", ".join(["1 AS _hit", *[f"`{c}`" for c in update]])
-    return values.selectExpr(*[f"`{k}`" for k in keys], f"struct({fields}) AS _new")
+    """Keys, a mark that tells a match from none, and the new values under names of their own."""
+    return values.selectExpr(
+        *[f"`{k}`" for k in keys], "true AS _hit", *[f"`{c}` AS `_new_{c}`" for c in update]
+    )
 
 
 def _apply(joined: DataFrame, cols: list[str], update: list[str]) -> DataFrame:
     return joined.selectExpr(
         [
-            f"CASE WHEN _new IS NOT NULL THEN {name('_new', c)} ELSE `{c}` END AS `{c}`"
-            if c in update
-            else f"`{c}`"
+            f"CASE WHEN _hit THEN `_new_{c}` ELSE `{c}` END AS `{c}`" if c in update else f"`{c}`"
             for c in cols
         ]
     )
 
 
 def update_matches(
-    target: DataFrame, values: DataFrame, keys: list[str], update: list[str]
-) -> DataFrame:
-    """Target rows with the ``update`` columns replaced wherever ``values`` has the key."""
-    joined = target.join(_values(values, keys, update), keys, "left")
-    return _apply(joined, target.columns, update)
-
-
-def update_matches_spread(
     target: DataFrame,
     values: DataFrame,
     keys: list[str],
     update: list[str],
     hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> DataFrame:
-    """``update_matches`` for a stored target that may hold a key many times, whole copies included."""
-    joined = spread_join(target, _values(values, keys, update), keys, None, "left", hot_rows)
+    """Target rows with the ``update`` columns replaced wherever ``values`` has the key.
+
+    The stored target may hold a key many times, whole copies included: a small batch is broadcast
+    to it, otherwise hot keys are split.
+    """
+    new = _values(values, keys, update)
+    if small_source:
+        joined = target.join(F.broadcast(new), keys, "left")
+    else:
+        joined = spread_join(target, new, keys, None, "left", hot_rows)
     return _apply(joined, target.columns, update)
 
 
@@ -170,6 +163,7 @@ def contact_only(
     contact: list[str],
     order: list[str],
     hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> MergeResult:
     """Insert new rows, all copies; on a match change the contact columns to those of the last copy.
 
@@ -179,10 +173,11 @@ def contact_only(
     seen = target.select("file_path").distinct().join(arriving, "file_path", "left_semi")
     batch = spread_join(source, seen, ["file_path"], order, "left_anti", hot_rows)
     last = keep_last(batch.where(~incomplete(keys)), keys, order)
-    updated = update_matches_spread(target, last, keys, contact, hot_rows)
-    inserted = new_rows(batch, target, keys, order, hot_rows).select(target.columns)
+    updated = update_matches(target, last, keys, contact, hot_rows, small_source)
+    inserted = new_rows(batch, target, keys, order, hot_rows, small_source).select(target.columns)
     return MergeResult(
-        updated.unionByName(inserted), lambda: matched_actions(batch, target, keys, order)
+        updated.unionByName(inserted),
+        lambda: matched_actions(batch, target, keys, order, small_source),
     )
 
 
@@ -194,11 +189,12 @@ def if_changed(
     update: list[str],
     order: list[str],
     hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> MergeResult:
     """Insert new rows, all copies; update a match only when a tracked column differs."""
-    judged = classify_changes(source, target, keys, tracked, order, hot_rows)
+    judged = classify_changes(source, target, keys, tracked, order, hot_rows, small_source)
     last = keep_last(judged.where(F.col("change") == "changed"), keys, order)
-    updated = update_matches_spread(target, last, keys, update, hot_rows)
+    updated = update_matches(target, last, keys, update, hot_rows, small_source)
     inserted = judged.where(F.col("change") == "new").select(target.columns)
     action = (
         F.when(F.col("change") == "new", INSERT)
@@ -219,6 +215,7 @@ def last_wins(
     lineage: list[str],
     order: list[str],
     hot_rows: int = HOT_ROWS,
+    small_source: bool = False,
 ) -> MergeResult:
     """Rows applied one after another: a key ends with the values of its last row.
 
@@ -237,13 +234,14 @@ def last_wins(
         )
         .select(*keys, "_last.*", "_first.*")
     )
-    updated = update_matches_spread(target, ends, keys, payload, hot_rows)
-    stored = target.where(~incomplete(keys)).select(keys).distinct()
+    updated = update_matches(target, ends, keys, payload, hot_rows, small_source)
+    known = target.where(~incomplete(keys)).select(keys)
+    stored = near_keys(known, ends, keys, small_source).distinct()
     added = ends.join(stored, keys, "left_anti")
     loose = source.where(incomplete(keys)).select(cols)
     return MergeResult(
         updated.unionByName(added.select(cols)).unionByName(loose),
-        lambda: ordered_actions(source, target, keys, order),
+        lambda: ordered_actions(source, target, keys, order, small_source),
     )
 
 

@@ -23,7 +23,7 @@ from millrace.sources import dbf, heads
 from millrace.sources.snapshot import SnapshotTable
 from millrace.sources.text import ORDER, list_files, read_csv_strings
 
-# A batch whose files are smaller than this may be broadcast against its target.
+# A batch may be broadcast against its target when its plain, uncompressed files are smaller than this.
 SMALL_BATCH_BYTES = 32 << 20
 
 
@@ -108,14 +108,21 @@ def plan_feed(
         case "append" | "dynamic_key":
             result = merge.append(target, source)
         case "contact_only":
-            result = merge.contact_only(target, source, keys, update, order)
+            result = merge.contact_only(
+                target, source, keys, update, order, small_source=small_source
+            )
         case "if_changed":
-            result = merge.if_changed(target, source, keys, list(spec.tracked), update, order)
+            result = merge.if_changed(
+                target, source, keys, list(spec.tracked), update, order, small_source=small_source
+            )
         case "last_wins":
-            result = merge.last_wins(target, source, keys, list(spec.kinds), list(LINEAGE), order)
+            result = merge.last_wins(
+                target, source, keys, list(spec.kinds), list(LINEAGE), order, small_source=small_source
+            )
     if source is not batch:
         result = merge.MergeResult(
-            result.snapshot, lambda: merge.ordered_actions(batch, target, keys, order)
+            result.snapshot,
+            lambda: merge.ordered_actions(batch, target, keys, order, small_source),
         )
     return FeedPlan(result, duplicates, dropped)
 
@@ -205,10 +212,9 @@ def run_feed(
     if table.applied(run_id):
         return FeedResult(spec.code, "skipped", "run_already_applied", run_id)
     if isinstance(path, str):
-        files = list_files(spark, path).select("path", "length")
-        files = files.where(has_extension(F.col("path"), FEED_EXTENSIONS))
+        files = list_files(spark, path).where(has_extension(F.col("path"), FEED_EXTENSIONS))
     else:
-        files = spark.createDataFrame([(p,) for p in path], "path string").withColumn("length", F.lit(0))
+        files = spark.createDataFrame([(p,) for p in path], "path string")
     hashed = hash_files(files).withColumn("table_name", F.lit(spec.table))
     fresh = ledger.unprocessed(hashed, store.completed(spec), ["path"]).select("path", "file_hash")
     # File names only, as many as Spark's own file index holds for the same folder.
@@ -233,12 +239,12 @@ def _run_batch(
     landing = f"{store.root}/landing/{spec.table}/{run_id}"
     stage(spec, read_raw(spark, list(files)), run_ts).write.mode("overwrite").parquet(landing)
     staged = spark.read.parquet(landing)
-    size = list_files(spark, landing, "*.parquet").agg(F.sum("length")).first()[0] or 0
 
     keyed = bool(spec.merge_keys)
     touched = table.touched(staged) if keyed else set()
     # An append does not look at what is stored.
     target = table.read(touched)
+    size = list_files(spark, list(files)).agg(F.sum("length")).first()[0]
     plan = plan_feed(
         spec, staged, target, many_files=len(files) > 1, small_source=size <= SMALL_BATCH_BYTES
     )

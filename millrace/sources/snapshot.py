@@ -89,7 +89,11 @@ class SnapshotTable:
         version = 1 + (self._log().agg(F.max("version")).first()[0] or 0)
         folder = f"{self.root}/data/{version:010d}-{uuid.uuid4().hex}"
         names = self.schema.fieldNames()
-        rows.select(*names, part.alias(PART)).write.partitionBy(PART).parquet(folder)
+        # Rows of a partition are brought together for few, large files; adaptive execution splits a
+        # partition that holds most of the rows.
+        rows.select(*names, part.alias(PART)).hint("rebalance", PART).write.partitionBy(PART).parquet(
+            folder
+        )
         written = {
             r[0]
             for r in list_files(self.spark, folder, "*.parquet")

@@ -25,8 +25,8 @@ from millrace.sources import heads
 ORDER = ["file_path", "row_block", "row_seq"]
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(path, length, modified) of all files below a folder; contents are not read."""
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """(path, length, modified) of all files below a folder or of a list; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

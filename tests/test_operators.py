@@ -162,3 +162,22 @@ def test_changes_are_null_safe(spark):
     source = spark.createDataFrame([(0, "a", None), (1, "b", None)], "pos long, k string, v long")
     got = match.classify_changes(source, target, ["k"], ["v"], ["pos"])
     assert as_set(got, "pos", "change") == [(0, "unchanged"), (1, "changed")]
+
+
+@pytest.mark.parametrize("policy", ["contact_only", "if_changed", "last_wins"])
+def test_a_broadcast_batch_gives_the_same_merge(spark, policy):
+    columns = "k string, v long, note string, file_path string"
+    target = spark.createDataFrame(
+        [("a", 1, "t", "f0"), ("a", 1, "t", "f0"), ("b", 2, "t", "f0"), (None, 3, "t", "f0")], columns
+    )
+    rows = [(0, "a", 5, "s", "f1"), (1, "a", 6, "s", "f1"), (2, "n", 7, "s", "f1"), (3, None, 8, "s", "f1"), (4, "n", 9, "s", "f1"), (5, "b", 2, "s", "f1")]
+    source = spark.createDataFrame(rows, "pos long, " + columns)
+    arguments = {
+        "contact_only": (["k"], ["note"], ["pos"]),
+        "if_changed": (["k"], ["v"], ["v", "note"], ["pos"]),
+        "last_wins": (["k"], ["v", "note"], ["file_path"], ["pos"]),
+    }[policy]
+    run = getattr(merge, policy)
+    wide, small = (run(target, source, *arguments, small_source=b) for b in (False, True))
+    assert as_set(wide.snapshot, *target.columns) == as_set(small.snapshot, *target.columns)
+    assert as_set(wide.actions, "pos", "action") == as_set(small.actions, "pos", "action")
