@@ -9,8 +9,9 @@ from millrace.functions.names import kind_by_keyword
 from millrace.plans import feed as feed_module
 from millrace.plans import schemas
 from millrace.plans.feed import FeedStore, run_feed
-from millrace.plans.job import run_job
+from millrace.plans.job import job_report, run_job
 from millrace.plans.registry import FEEDS
+from millrace.plans.reminders import reminders
 from millrace.sources import dbf
 from millrace.sources.snapshot import SnapshotTable
 from millrace.sources.text import read_csv_strings
@@ -72,6 +73,9 @@ def test_job_merges_reports_and_replays(spark, folder, inbox):
     assert stored(spark, root, "scheme", "scheme_code", "pur_allowed", "sip_allowed", "catg_id") == [
         ("S1", "N", "N", 6.0)
     ]
+    report = job_report(summary).first()
+    assert (report["success"], report["failures"], report["total"]) == (4, 0, 4)
+    assert "wbr2c: 2 ok, 0 failed, 6 records" in report["details"]
     lost = spark.read.parquet(f"{root}/rejects")
     raw = lost.where("feed = 'wbr2c'").select("raw").first()[0]
     assert '"FOLIO_NO":" 1 "' in raw and '"TRADDATE":"05-JAN-2024"' in raw
@@ -202,3 +206,30 @@ def test_dynamic_feed_follows_the_catalog(spark):
     spec = FEEDS["wbbrok"].for_catalog(schema)
     assert spec.kinds == {"prcode": "string", "accountno": "string", "paymentdt": "date", "cnav": "double"}
     assert spec.merge_keys == ["prcode", "accountno"]
+
+
+def test_reminders_from_stored_tables(spark, folder):
+    root = f"{folder}/store"
+    plans = (
+        "FOLIO_NO,AUTO_TRNO,FROM_DATE,TO_DATE,CEASE_DATE,PERIOD_DAY,AUTO_AMOUN,INV_NAME,SCHEME\n"
+        "1,10,2024-01-01,2030-01-01,,15,5000,Asha,Growth\n"  # due
+        "1,11,2024-01-01,2030-01-01,,16,5000,Asha,Growth\n"  # other day
+        "1,12,2024-01-01,2024-02-01,,15,5000,Asha,Growth\n"  # ended
+        "2,13,2024-01-01,,2024-03-01,15,5000,B,Growth\n"  # ceased
+        "3,14,2024-01-01,,,15,0,,Debt\n"  # bad number
+        "4,15,2024-01-01,,,15,1,D,Debt\n"  # no contact
+    )
+    investors = (
+        "FOLIOCHK,PRODUCT,SCH_NAME,REP_DATE,MOBILE_NO\n1,P,S,2024-01-01,1\n1,P,S,2024-05-01,9876543210\n"
+        "2,P,S,2024-05-01,9876543210\n3,P,S,2024-05-01,12\n4,P,S,2024-05-01,\n"
+    )
+    run_feed(spark, FEEDS["wbr49"], [put(f"{folder}/p.csv", plans)], root, T1)
+    run_feed(spark, FEEDS["wbr9"], [put(f"{folder}/i.csv", investors)], root, T1)
+    rows = reminders(FeedStore(spark, root), "2024-06-14", "Me").orderBy("folio_no").collect()
+    assert [(r["folio_no"], r["status"], r["recipient"], r["reason"]) for r in rows] == [
+        ("1", "ready", "919876543210", None),
+        ("3", "failed", None, "invalid_mobile"),
+    ]
+    assert rows[0]["message"].startswith(
+        "Dear Asha, your SIP of ₹5,000.0 for Growth will be processed on 15/6/2024."
+    )
