@@ -15,21 +15,30 @@ from millrace.sources import dbf
 from millrace.sources.text import listed_by_extension, read_csv_strings, union_parts, write_csv
 
 
+# Cells with quotes, separators and line breaks.
+AWKWARD = """CASE c_custkey % 4 WHEN 0 THEN 'a "' || c_name || '", b' WHEN 1 THEN 'x' || chr(10) || c_name
+  WHEN 2 THEN c_mktsegment || ',' ELSE c_name END"""
+
+
+def with_awkward_text(customers):
+    return customers.selectExpr("*", f"{AWKWARD} AS note")
+
+
 @query(
     "scan_csv_strings",
-    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-      CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+      CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, {AWKWARD} AS note FROM customer""",
 )
 def scan_csv_strings(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    write_csv(table(spark, sf_dir, "customer"), path)
+    write_csv(with_awkward_text(table(spark, sf_dir, "customer")), path)
     return read_csv_strings(spark, path)
 
 
 @query(
     "scan_csv_typed",
     f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
-      {S.FOLIO_TEXT.replace("' N'", "'N'").replace("|| ' ' END", "END").replace("' '", "NULL")} AS folio FROM orders""",
+      nullif(trim({S.FOLIO_TEXT}), '') AS folio FROM orders""",
 )
 def scan_csv_typed(spark, sf_dir):
     path = scratch_path(spark, "csv")

@@ -259,7 +259,8 @@ def dynamic_key(
     fixed: tuple[str, ...] = ("file_path", "created_at"),
     small_source: bool = False,
 ) -> MergeResult:
-    """Upsert on the candidate keys that exist, last copy first reduced to; append without a key."""
+    """Upsert on the candidate keys that exist, the last copy of a key standing for all; append without
+    a key."""
     keys = present_keys(candidates, target.columns)
     if not keys:
         return append(target, source)

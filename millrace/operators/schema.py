@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions.clean import CLEANERS, STORED_TYPES
+from millrace.functions.clean import CENTURY_FROM, CLEANERS, STORED_TYPES, clean_date
 from millrace.functions.names import kind_by_keyword, match_column, snake_case
 
 LINEAGE = ("file_path", "created_at", "updated_at")
@@ -38,7 +38,17 @@ def source_of(target: str, headers: list[str]) -> str | None:
     return next((h for h in headers if h.replace("_", "") == bare), None)
 
 
-def conform(df: DataFrame, kinds: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+def cleaned(name: str, kind: str, century_from: int) -> Column:
+    text = F.col(quoted(name)).cast("string")
+    return clean_date(text, century_from) if kind == "date" else CLEANERS[kind](text)
+
+
+def conform(
+    df: DataFrame,
+    kinds: dict[str, str],
+    keep: tuple[str, ...] = (),
+    century_from: int = CENTURY_FROM,
+) -> DataFrame:
     """One projection onto the target list; absent columns are typed NULLs."""
 
     def cell(name: str, kind: str) -> Column:
@@ -46,7 +56,7 @@ def conform(df: DataFrame, kinds: dict[str, str], keep: tuple[str, ...] = ()) ->
         if found is None:
             absent = F.lit("N") if kind == "flag" else F.lit(None).cast(STORED_TYPES[kind])
             return absent.alias(name)
-        return CLEANERS[kind](F.col(quoted(found)).cast("string")).alias(name)
+        return cleaned(found, kind, century_from).alias(name)
 
     return df.select([cell(n, k) for n, k in kinds.items()] + [F.col(c) for c in keep])
 
@@ -64,12 +74,13 @@ def conform_dynamic(
     df: DataFrame,
     kinds: dict[str, str],
     keep: tuple[str, ...] = (),
+    century_from: int = CENTURY_FROM,
 ) -> DataFrame:
     """Like ``conform``, but input columns are found by exact or containing name."""
     headers = [c for c in df.columns if c not in keep]
     mapping = {name: match_column(name, headers) for name in kinds}
     cells = [
-        CLEANERS[kind](F.col(quoted(mapping[name])).cast("string")).alias(name)
+        cleaned(mapping[name], kind, century_from).alias(name)
         if mapping[name] is not None
         else F.lit(None).cast(STORED_TYPES[kind]).alias(name)
         for name, kind in kinds.items()

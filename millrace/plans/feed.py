@@ -27,7 +27,7 @@ from millrace.sources.text import ORDER, list_files, read_csv_strings
 SMALL_BATCH_BYTES = 32 << 20
 
 
-RAW = "raw"
+RAW = "_raw"
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,8 @@ def stage(spec: FeedSpec, raw: DataFrame, run_ts: str) -> DataFrame:
     named = rename_all(raw.select("*", whole), lambda n: n if n in (*ORDER, RAW) else rule(n))
     shape = conform_dynamic if spec.dynamic else conform
     now = F.lit(run_ts).cast("timestamp")
-    return shape(named, spec.cleaning, keep=(*ORDER, RAW)).select(
+    century_from = int(run_ts[:4]) - 50
+    return shape(named, spec.cleaning, (*ORDER, RAW), century_from).select(
         "*", now.alias("created_at"), now.alias("updated_at")
     )
 
@@ -253,7 +254,7 @@ def _run_batch(
         plan.dropped.withColumn("action", F.lit("reject"))
     )
     base = f"{store.root}/rejects/run_id={run_id}"
-    lost.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, "action", RAW).write.mode(
+    lost.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, "action", F.col(RAW).alias("raw")).write.mode(
         "overwrite"
     ).partitionBy("run_date", "feed").parquet(base)
     acted = f"{store.root}/actions/{spec.table}/run_id={run_id}"

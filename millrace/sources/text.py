@@ -7,6 +7,7 @@ read with its own column list; the groups are united by name.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
@@ -66,6 +67,32 @@ def _with_position(df: DataFrame) -> DataFrame:
     )
 
 
+def column_names(header: str) -> list[str]:
+    """Names of a header line; a blank name gets its position, a repeated one a number."""
+    names: list[str] = []
+    taken: set[str] = set()
+    for i, cell in enumerate(next(csv.reader([header]))):
+        name = base = cell if cell.strip() else f"unnamed: {i}"
+        n = 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}.{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which a quoted cell goes on in the next line: some line has an odd number of quotes.
+
+    One pass over the text; all other files can be read in blocks.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).where(quotes % 2 == 1)
+    found = lines.select(plain_path(F.col("_metadata.file_path")).alias("path")).distinct()
+    return {r["path"] for r in found.toLocalIterator()}
+
+
 def read_csv_strings(spark: SparkSession, paths: list[str] | str, with_position: bool = False) -> DataFrame:
     """All columns as strings, files with different headers united by name.
 
@@ -75,23 +102,31 @@ def read_csv_strings(spark: SparkSession, paths: list[str] | str, with_position:
         files = list_files(spark, paths, "*.csv")
     else:
         files = spark.createDataFrame([(p,) for p in paths], "path string")
-    groups: dict[str, list[str]] = defaultdict(list)
     # One entry per file, as in the file index that Spark keeps of the same folder.
-    for row in headers_of(files).toLocalIterator():
-        groups[row["header"]].append(row["path"])
-
-    def read(header: str, members: list[str]) -> DataFrame:
-        names = next(csv.reader([header]))
-        schema = StructType([StructField(n, StringType()) for n in names])
-        df = spark.read.csv(sorted(members), schema=schema, header=True, multiLine=False)
+    headers = {r["path"]: r["header"] for r in headers_of(files).toLocalIterator()}
+    if not headers:
+        raise FileNotFoundError(f"no csv files under {paths}")
+    broken = files_with_line_breaks(spark, sorted(headers))
+    groups: dict[tuple[str, bool], list[str]] = defaultdict(list)
+    for path, header in headers.items():
+        groups[header, _same(path) in broken].append(path)
+
+    def read(header: str, multi_line: bool, members: list[str]) -> DataFrame:
+        schema = StructType([StructField(n, StringType()) for n in column_names(header)])
+        df = spark.read.csv(
+            sorted(members), schema=schema, header=True, escape='"', multiLine=multi_line
+        )
         return _with_position(df) if with_position else df
 
-    frames = [read(h, p) for h, p in sorted(groups.items())]
-    if not frames:
-        raise FileNotFoundError(f"no csv files under {paths}")
+    frames = [read(*group, members) for group, members in sorted(groups.items())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _same(path: str) -> str:
+    """``plain_path`` for a path in hand."""
+    return re.sub("^file:/+", "file:/", path if ":" in path else f"file:{path}")
+
+
 def union_parts(
     parts: list[DataFrame],
     keys: list[str],
@@ -109,4 +144,4 @@ def union_parts(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", "true").csv(path)
+    df.write.mode(mode).csv(path, header=True, escape='"')

@@ -73,6 +73,7 @@ def test_job_merges_reports_and_replays(spark, folder, inbox):
     assert stored(spark, root, "scheme", "scheme_code", "pur_allowed", "sip_allowed", "catg_id") == [
         ("S1", "N", "N", 6.0)
     ]
+    assert (counts["readme.txt"]["status"], counts["readme.txt"]["feed"]) == ("unsupported", None)
     report = job_report(summary).first()
     assert (report["success"], report["failures"], report["total"]) == (4, 0, 4)
     assert "wbr2c: 2 ok, 0 failed, 6 records" in report["details"]
@@ -157,6 +158,19 @@ def test_csv_files_with_different_headers(spark, folder):
     assert sorted((tuple(r) for r in rows), key=repr) == [("1", "2", None), (None, "3", "007")]
 
 
+def test_csv_names_quotes_and_line_breaks(spark, folder):
+    put(f"{folder}/in/a b.csv", 'x,X,,y\n1,2,3,"say ""hi"", you"\n"l1\nl2",5,6,7\n')
+    put(f"{folder}/in/c.csv", "y\n8\n")
+    df = read_csv_strings(spark, f"{folder}/in", with_position=True)
+    assert df.columns[:4] == ["x", "X.1", "unnamed: 2", "y"]
+    rows = df.orderBy("file_path", "row_block", "row_seq").collect()
+    assert [tuple(r)[:4] for r in rows] == [
+        ("1", "2", "3", 'say "hi", you'),
+        ("l1\nl2", "5", "6", "7"),
+        (None, None, None, "8"),
+    ]
+
+
 def dbf_bytes(fields, records):
     import struct
 
