@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from millrace.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -29,7 +30,7 @@ def plain(v):
     return "nan" if isinstance(v, float) and math.isnan(v) else repr(v) if v is None else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = queries()[name](spark, SF)
     cols = sorted(df.columns)
