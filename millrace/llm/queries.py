@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, quality_rules
+from millrace.llm import langid, mixing, quality_rules
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -106,3 +106,11 @@ FROM q
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the production curriculum takes of every document, in the order of first positions."""
     return mixing.account(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(spark, docs, learn=~langid.held_out())
+    return langid.predict(spark, docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +37,21 @@ def land(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _shipped(application: str) -> str:
+    root = Path(__file__).resolve().parents[2]
+    path = f"{tempfile.mkdtemp(prefix='millrace-')}/millrace.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted((root / "millrace").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a session, through Spark's own file service."""
+    context = spark.sparkContext
+    path = _shipped(context.applicationId)
+    if not any(f.endswith(Path(path).name) for f in context.listFiles):
+        context.addPyFile(path)
