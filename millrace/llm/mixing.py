@@ -139,9 +139,10 @@ def account(
     placed = _placed(sized, _sums(sized), plan)
     first = F.when(F.col("copies") > 0, _position(F.lit(0), plan))
     rows = placed.select(
+        "hash",
         "carried.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", first.alias("position")
     )
-    return rows.orderBy(F.col("position").asc_nulls_last())
+    return rows.orderBy(F.col("position").asc_nulls_last(), "hash").drop("hash")
 
 
 def mix(
@@ -155,5 +156,5 @@ def mix(
     sums = land(spark, _sums(_sized(plain, F.lit(0), *own, parts)), "mix-sums")
     placed = _placed(_sized(plain, F.struct(*plain.columns), *own, parts), sums, plan)
     taken = placed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    ordered = taken.withColumn("position", _position(F.col("copy"), plan)).orderBy("position")
+    ordered = taken.withColumn("position", _position(F.col("copy"), plan)).orderBy("position", "hash")
     return ordered.select(*[F.col(f"carried.{c}") for c in plain.columns]).toDF(*names)

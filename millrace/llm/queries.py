@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, mixing, quality_rules
+from millrace.llm import langid, minhash, mixing, packing, quality_rules
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -114,3 +114,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(spark, docs, learn=~langid.held_out())
     return langid.predict(spark, docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates, on sets of four-word shingles."""
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), minhash.Settings(words=4))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document goes, counted in words."""
+    return packing.pack_table(spark, table(spark, sf_dir, "documents"))
