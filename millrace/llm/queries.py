@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, minhash, mixing, packing, quality_rules
+from millrace.llm import chat, langid, minhash, mixing, packing, quality_rules, tokens, warc
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -126,3 +126,64 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes, counted in words."""
     return packing.pack_table(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokens.count_tokens(spark, table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS last FROM p
+), d AS (
+  SELECT *, list_transform(range(40), lambda i: instr('0123456789abcdef', h[i + 1]) - 1) AS x FROM m
+)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((x[(5 * i) // 4 + 1] * 16 + x[(5 * i) // 4 + 2]) >> (3 - (5 * i) % 4)) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM d
+"""
+
+
+@query("op6_warc", WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives."""
+    manifest = warc.write(spark, table(spark, sf_dir, "pages"))
+    return warc.read(spark, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CHAT_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(floor(turn / 1024.0), 0)::BIGINT AS part, turn, role,
+    replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role IS NOT NULL AND role <> 'system'
+), j AS (
+  SELECT t.*, speaker, CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+      WHEN role IS NULL THEN '<|user|>' ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' END || chr(10) AS head,
+    body || '<|end|>' || chr(10) AS said, coalesce(role = speaker, FALSE) AS own
+  FROM t LEFT JOIN s USING (conv_id)
+), o AS (
+  SELECT *, row_number() OVER w AS k, sum(length(head) + length(said)) OVER w AS upto
+  FROM j WINDOW w AS (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS LAST, role NULLS FIRST, body
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT conv_id, part, speaker, count(*)::INTEGER AS n_turns, string_agg(head || said, '' ORDER BY k) AS rendered,
+  coalesce(string_agg(CASE WHEN own THEN (upto - length(said))::VARCHAR || '-' || (upto - 1)::VARCHAR END, ',' ORDER BY k), '') AS spans
+FROM o GROUP BY conv_id, part, speaker
+"""
+
+
+@query("op9_chat", CHAT_SQL)
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the side of each speaker; spans as text."""
+    rows = chat.rotate(table(spark, sf_dir, "conversations"))
+    joined = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return rows.withColumn("spans", joined)
