@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, langid, minhash, mixing, packing, quality_rules, tokens, warc
+from millrace.llm import chat, langid, minhash, mixing, packing, quality_rules, simhash, tokens, warc
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -187,3 +187,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.rotate(table(spark, sf_dir, "conversations"))
     joined = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return rows.withColumn("spans", joined)
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and its neighbour's."""
+    return simhash.compare_edited(spark, table(spark, sf_dir, "documents"))
