@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, langid, minhash, mixing, packing, quality_rules, simhash, tokens, warc
+from millrace.llm import chat, langid, licenses, minhash, mixing, packing, quality_rules, simhash, tokens, warc
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -193,3 +193,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint against its edited text's and its neighbour's."""
     return simhash.compare_edited(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice found in a document."""
+    return licenses.scan(spark, table(spark, sf_dir, "documents"))
