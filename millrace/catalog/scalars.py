@@ -163,7 +163,7 @@ HEADERS_SQL = f"SELECT p_partkey, {S.HEADER_TEXT} AS header FROM part"
 
 @query(
     "snake_case_names",
-    f"""SELECT p_partkey, header, lower(regexp_replace(regexp_replace(trim(header), '[ ]+', '_', 'g'),
+    f"""SELECT p_partkey, header, lower(regexp_replace(regexp_replace(trim(header, chr(9) || ' ' || chr(160)), '[\t \\x{{A0}}]+', '_', 'g'),
       '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) AS name FROM ({HEADERS_SQL})""",
 )
 def snake_case_names(spark, sf_dir):
@@ -174,7 +174,7 @@ def snake_case_names(spark, sf_dir):
 
 @query(
     "normalize_names_b",
-    f"SELECT p_partkey, header, replace(replace(lower(trim(header)), ' ', '_'), '-', '_') AS name FROM ({HEADERS_SQL})",
+    f"SELECT p_partkey, header, replace(replace(lower(trim(header, chr(9) || ' ' || chr(160))), ' ', '_'), '-', '_') AS name FROM ({HEADERS_SQL})",
 )
 def normalize_names_b(spark, sf_dir):
     return header_names(spark, sf_dir).select(
@@ -188,7 +188,7 @@ def normalize_names_b(spark, sf_dir):
       WHEN contains(name, 'date') OR contains(name, 'dt') OR contains(name, 'sys_regn_d') THEN 'date'
       WHEN regexp_matches(name, 'amount|price|units|perc|comm|tax|stt|load|charg|amt|duty') THEN 'double'
       ELSE 'string' END AS kind
-    FROM (SELECT p_partkey, replace(replace(lower(trim(header)), ' ', '_'), '-', '_') AS name FROM ({HEADERS_SQL}))""",
+    FROM (SELECT p_partkey, replace(replace(lower(trim(header, chr(9) || ' ' || chr(160))), ' ', '_'), '-', '_') AS name FROM ({HEADERS_SQL}))""",
 )
 def keyword_type_infer(spark, sf_dir):
     named = header_names(spark, sf_dir).select(
@@ -222,20 +222,7 @@ def fuzzy_column_map(spark, sf_dir):
 def route_sql() -> str:
     lines = [
         f"WHEN contains(lower(subject), '{code}') THEN '{target}'"
-        for code, target in (
-            ("wbbrok", "kfintech_brokerage"),
-            ("wbr22", "cam_aum_wbr22"),
-            ("wbr2c", "cam_inv_wbr2c"),
-            ("wbr49", "cam_sip_wbr49"),
-            ("wbr9c", "cam_investor_kyc_status_wbr9c"),
-            ("wbr77", "cam_brokerage_wbr77"),
-            ("wbcum", "kfintech_client_aum"),
-            ("wbtrn", "kafintech_trxn_report"),
-            ("wbmst", "kfintech_investor_master"),
-            ("wbr5", "cam_sip_wbr5"),
-            ("wbr9", "cam_investor_details_wbr9"),
-            ("wbr2", "cam_investor_trxn_wbr2"),
-        )
+        for code, target in routing.by_length(routing.ROUTES)
     ]
     return f"""SELECT p_partkey, subject, CASE {" ".join(lines)} END AS table_name
       FROM (SELECT p_partkey, {S.SUBJECT_TEXT} AS subject FROM part)"""

@@ -12,7 +12,7 @@ from millrace.operators.schema import add_lineage
 from millrace.operators.report import base_name
 from millrace.session import scratch_path
 from millrace.sources import dbf
-from millrace.sources.text import listed_by_extension, read_csv_strings, union_parts, write_csv
+from millrace.sources.text import list_files, listed_by_extension, read_csv_strings, union_parts, write_csv
 
 
 # Cells with quotes, separators and line breaks.
@@ -62,6 +62,26 @@ def scan_csv_typed(spark, sf_dir):
     )
 
 
+@query(
+    "scan_csv_ragged",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS s,
+      CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus || ',"a,b",c' END AS surplus FROM orders""",
+)
+def scan_csv_ragged(spark, sf_dir):
+    """Lines with one cell, with the two of the header, and with four."""
+    path = scratch_path(spark, "csv")
+    key = "CAST(o_orderkey AS STRING)"
+    line = f"""CASE o_orderkey % 3 WHEN 0 THEN {key} WHEN 1 THEN {key} || ',' || o_orderstatus
+      ELSE {key} || ',' || o_orderstatus || ',"a,b",c' END"""
+    body = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{line} AS value")
+    # One header above the lines of every file.
+    heads = body.select(F.spark_partition_id().alias("p")).distinct().selectExpr("p", "-1L AS k", "'k,s' AS value")
+    rows = body.select(F.spark_partition_id().alias("p"), F.col("o_orderkey").alias("k"), "value").union(heads)
+    rows.repartition("p").sortWithinPartitions("p", "k").drop("k").write.partitionBy("p").text(path)
+    names = [r["path"] for r in list_files(spark, path).select("path").collect()]
+    return read_csv_strings(spark, names, surplus="surplus")
+
+
 SHEETS = ("F", "O", "P")
 
 

@@ -102,7 +102,7 @@ DMY_TEXT = f"""CASE o_orderkey % 8
 
 HEADER_TEXT = """CASE p_partkey % 6
   WHEN 0 THEN ' ' || p_name || '  ' || p_type
-  WHEN 1 THEN replace(p_name, ' ', '') || p_brand
+  WHEN 1 THEN chr(9) || replace(p_name, ' ', chr(160)) || p_brand || chr(9)
   WHEN 2 THEN upper(replace(p_name, ' ', '_')) || '_' || CAST(p_size AS STRING) || 'H'
   WHEN 3 THEN p_type || '-' || p_name
   WHEN 4 THEN p_brand || ' ' || p_type || 'Date'

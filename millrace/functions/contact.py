@@ -30,18 +30,25 @@ def normalize_mobile(c: Column) -> Column:
 def format_amount(c: Column) -> Column:
     """Thousands separators around the shortest decimal text of a double: 5000.0 -> ``5,000.0``.
 
-    Valid below 1e16; the decimal cast keeps the digits a double prints with.
+    From 1e16 on in powers of ten, as in ``1.5e+16``; no amount raises.
     """
-    exact = F.abs(c).cast("decimal(38,20)")
-    whole = F.floor(exact).cast("bigint")
+    exact = F.abs(c).try_cast("decimal(38,20)")
+    whole = F.floor(exact).try_cast("bigint")
     fraction = F.rtrim(F.substring_index(exact.cast("string"), ".", -1), F.lit("0"))
     sign = F.when(c < 0, "-").otherwise("")
-    return F.concat(
+    plain = F.concat(
         sign,
         F.format_number(whole, 0),
         F.lit("."),
         F.when(fraction == "", "0").otherwise(fraction),
     )
+    powers = F.regexp_replace(c.cast("string"), r"(\.0)?E", "e+")
+    return (
+        F.when(F.isnan(c), "nan")
+        .when(F.abs(c) == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(F.abs(c) >= 1e16, powers)
+        .otherwise(plain)
+    )
 
 
 def due_date_text(day: Column, target_date: Column) -> Column:

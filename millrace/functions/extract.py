@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,14 +58,26 @@ def html_fields(body: Column) -> Column:
     """First table of the body as a map; rows need two cells and a repeated key keeps its last value."""
     rows = F.regexp_extract_all(F.regexp_extract(body, TABLE_RE, 1), F.lit(ROW_RE), 1)
     cells = F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(CELL_RE), 1))
-    pairs = F.reverse(F.filter(cells, lambda c: F.size(c) >= 2))
-    keys = F.transform(pairs, lambda c: cell_text(c[0]))
-    values = F.transform(pairs, lambda c: cell_text(c[1]))
-    unique = F.array_distinct(keys)
-    last = F.transform(
-        unique, lambda k: F.element_at(values, F.array_position(keys, k).cast("int"))
+    kept = F.filter(cells, lambda c: F.size(c) >= 2)
+    pairs = F.transform(
+        kept, lambda c, i: F.struct(cell_text(c[0]).alias("k"), i.alias("i"), cell_text(c[1]).alias("v"))
+    )
+    # A lambda's argument is worked out once, so the table is parsed once: sorted by key and place, the last
+    # pair of a key is the one before another key.
+    return _with(
+        F.array_sort(pairs),
+        lambda p: F.map_from_entries(
+            F.transform(
+                F.filter(p, lambda x, i: ~F.get(p, i + 1)["k"].eqNullSafe(x["k"])),
+                lambda x: F.struct(x["k"], x["v"]),
+            )
+        ),
     )
-    return F.map_from_arrays(unique, last)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def field(fields: Column, name: str) -> Column:

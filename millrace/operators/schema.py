@@ -19,11 +19,15 @@ def quoted(name: str) -> str:
 
 
 def rename_all(df: DataFrame, rule: Callable[[str], str] = snake_case) -> DataFrame:
-    """All headers through one rule. A name that comes out twice keeps its first column."""
-    first: dict[str, str] = {}
+    """All headers through one rule. A name that comes out again gets a number: no column is lost."""
+    taken: dict[str, str] = {}
     for raw in df.columns:
-        first.setdefault(rule(raw), raw)
-    return df.select([F.col(quoted(raw)).alias(name) for name, raw in first.items()])
+        name, n = rule(raw), 1
+        while name in taken:
+            n += 1
+            name = f"{rule(raw)}.{n}"
+        taken[name] = raw
+    return df.select([F.col(quoted(raw)).alias(name) for name, raw in taken.items()])
 
 
 def drop_serial(df: DataFrame) -> DataFrame:
@@ -43,13 +47,24 @@ def cleaned(name: str, kind: str, century_from: int) -> Column:
     return clean_date(text, century_from) if kind == "date" else CLEANERS[kind](text)
 
 
+def bad_cells(sources: dict[str, str | None], kinds: dict[str, str], century_from: int) -> Column:
+    """Names of the typed columns whose input text is not blank and yet gave NULL."""
+    typed = [n for n, k in kinds.items() if sources.get(n) is not None and k not in ("string", "text", "flag")]
+    if not typed:
+        return F.array().cast("array<string>")
+    lost = lambda n: cleaned(sources[n], kinds[n], century_from).isNull() & cleaned(sources[n], "string", 0).isNotNull()
+    return F.array_compact(F.array(*[F.when(lost(n), F.lit(n)) for n in typed]))
+
+
 def conform(
     df: DataFrame,
     kinds: dict[str, str],
     keep: tuple[str, ...] = (),
     century_from: int = CENTURY_FROM,
+    bad: str | None = None,
 ) -> DataFrame:
-    """One projection onto the target list; absent columns are typed NULLs."""
+    """One projection onto the target list; absent columns are typed NULLs. ``bad`` names a column for
+    the list of cells that could not be read."""
 
     def cell(name: str, kind: str) -> Column:
         found = source_of(name, df.columns)
@@ -58,7 +73,10 @@ def conform(
             return absent.alias(name)
         return cleaned(found, kind, century_from).alias(name)
 
-    return df.select([cell(n, k) for n, k in kinds.items()] + [F.col(c) for c in keep])
+    cells = [cell(n, k) for n, k in kinds.items()] + [F.col(c) for c in keep]
+    if bad is not None:
+        cells.append(bad_cells({n: source_of(n, df.columns) for n in kinds}, kinds, century_from).alias(bad))
+    return df.select(cells)
 
 
 def dynamic_kinds(target: StructType, **words) -> dict[str, str]:
@@ -75,6 +93,7 @@ def conform_dynamic(
     kinds: dict[str, str],
     keep: tuple[str, ...] = (),
     century_from: int = CENTURY_FROM,
+    bad: str | None = None,
 ) -> DataFrame:
     """Like ``conform``, but input columns are found by exact or containing name."""
     headers = [c for c in df.columns if c not in keep]
@@ -85,6 +104,8 @@ def conform_dynamic(
         else F.lit(None).cast(STORED_TYPES[kind]).alias(name)
         for name, kind in kinds.items()
     ]
+    if bad is not None:
+        cells.append(bad_cells(mapping, kinds, century_from).alias(bad))
     return df.select(cells + [F.col(c) for c in keep])
 
 

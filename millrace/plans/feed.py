@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -12,11 +12,12 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.functions.names import plain_name, snake_case
+from millrace.functions.names import match_column, plain_name, snake_case
 from millrace.operators import dedup, ledger, merge, report
 from millrace.operators.filters import FEED_EXTENSIONS, has_extension
-from millrace.operators.schema import LINEAGE, conform, conform_dynamic, quoted, rename_all
+from millrace.operators.schema import LINEAGE, conform, conform_dynamic, dynamic_kinds, quoted, rename_all
 from millrace.operators.skew import incomplete
 from millrace.plans.spec import FeedSpec
 from millrace.sources import dbf, heads
@@ -28,6 +29,8 @@ SMALL_BATCH_BYTES = 32 << 20
 
 
 RAW = "_raw"
+# The record of a row with more cells than its header; and the cells that could not be read.
+SURPLUS, BAD = "_surplus", "_bad"
 
 
 @dataclass(frozen=True)
@@ -42,13 +45,16 @@ class FeedPlan:
 def stage(spec: FeedSpec, raw: DataFrame, run_ts: str) -> DataFrame:
     """Typed rows with lineage, position and the untouched input row as JSON, in one projection."""
     rule = plain_name if spec.code == "scheme" else snake_case
-    names = [c for c in raw.columns if c not in ORDER]
-    whole = F.to_json(F.struct(*[F.col(quoted(c)) for c in names])).alias(RAW)
-    named = rename_all(raw.select("*", whole), lambda n: n if n in (*ORDER, RAW) else rule(n))
+    if SURPLUS not in raw.columns:
+        raw = raw.withColumn(SURPLUS, F.lit(None).cast("string"))
+    own = (*ORDER, SURPLUS)
+    names = [c for c in raw.columns if c not in own]
+    whole = F.coalesce(F.col(SURPLUS), F.to_json(F.struct(*[F.col(quoted(c)) for c in names]))).alias(RAW)
+    named = rename_all(raw.select("*", whole), lambda n: n if n in (*own, RAW) else rule(n))
     shape = conform_dynamic if spec.dynamic else conform
     now = F.lit(run_ts).cast("timestamp")
     century_from = int(run_ts[:4]) - 50
-    return shape(named, spec.cleaning, (*ORDER, RAW), century_from).select(
+    return shape(named, spec.cleaning, (*own, RAW), century_from, BAD).select(
         "*", now.alias("created_at"), now.alias("updated_at")
     )
 
@@ -79,7 +85,7 @@ def plan_feed(
 ) -> FeedPlan:
     """The whole feed as lazy frames over staged rows."""
     keys, update, order = spec.merge_keys, spec.update_columns, ORDER
-    batch = staged.drop(RAW)
+    batch = staged.drop(RAW, SURPLUS, BAD)
     slim = staged.select(*spec.keys, *order, RAW)
     nothing = slim.where(F.lit(False)).select(*order, RAW)
     dropped = duplicates = nothing
@@ -177,7 +183,7 @@ def read_raw(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All rows as strings with their position, each file read by its extension."""
     tables = [p for p in paths if p.lower().endswith(".dbf")]
     texts = [p for p in paths if p.lower().endswith(".csv")]
-    frames = [read_csv_strings(spark, texts, with_position=True)] if texts else []
+    frames = [read_csv_strings(spark, texts, with_position=True, surplus=SURPLUS)] if texts else []
     if tables:
         dbf.register(spark)
         df = spark.read.format("dbf").option("paths", json.dumps(tables)).load()
@@ -218,6 +224,10 @@ def run_feed(
         files = spark.createDataFrame([(p,) for p in path], "path string")
     hashed = hash_files(files).withColumn("table_name", F.lit(spec.table))
     fresh = ledger.unprocessed(hashed, store.completed(spec), ["path"]).select("path", "file_hash")
+    if spec.policy == "contact_only":
+        # A file that is stored under its path is skipped as a whole, whatever it holds now.
+        known = store.completed(spec).select(F.col("source_file").alias("path")).distinct()
+        fresh = fresh.join(known, "path", "left_anti")
     # File names only, as many as Spark's own file index holds for the same folder.
     todo = {r["path"]: r["file_hash"] for r in fresh.toLocalIterator()}
     if not todo:
@@ -233,13 +243,36 @@ def run_feed(
     )
 
 
+def with_all_columns(spec: FeedSpec, table: SnapshotTable, raw: DataFrame) -> FeedSpec:
+    """A feed whose columns only its table knows: those of the stored table, or, before there is one,
+    the known columns and every other column of the input."""
+    if spec.policy != "dynamic_key":
+        return spec
+    stored = table.stored_schema()
+    if stored is not None:
+        return spec.for_catalog(stored)
+    headers = [snake_case(c) for c in raw.columns if c not in (*ORDER, SURPLUS)]
+    used = {match_column(name, headers) for name in spec.kinds}
+    rest = StructType([StructField(h, StringType()) for h in headers if h not in used])
+    more = dynamic_kinds(rest, date_words=spec.date_words, number_words=spec.number_words)
+    return replace(spec, kinds={**spec.kinds, **more})
+
+
 def _run_batch(
     store: FeedStore, spec: FeedSpec, files: dict[str, str], run_ts: str, run_id: str
 ) -> DataFrame:
-    spark, table = store.spark, store.table(spec)
+    spark = store.spark
+    raw = read_raw(spark, list(files))
+    spec = with_all_columns(spec, store.table(spec), raw)
+    table = store.table(spec)
     landing = f"{store.root}/landing/{spec.table}/{run_id}"
-    stage(spec, read_raw(spark, list(files)), run_ts).write.mode("overwrite").parquet(landing)
-    staged = spark.read.parquet(landing)
+    stage(spec, raw, run_ts).write.mode("overwrite").parquet(landing)
+    landed = spark.read.parquet(landing)
+    staged = landed.where(F.col(SURPLUS).isNull())
+    # Rows that are stored although cells of them could not be read.
+    landed.where((F.size(BAD) > 0) & F.col(SURPLUS).isNull()).select(
+        F.lit(spec.code).alias("feed"), *ORDER, F.col(BAD).alias("cells"), F.col(RAW).alias("raw")
+    ).write.mode("overwrite").parquet(f"{store.root}/unread/run_id={run_id}")
 
     keyed = bool(spec.merge_keys)
     touched = table.touched(staged) if keyed else set()
@@ -250,11 +283,15 @@ def _run_batch(
         spec, staged, target, many_files=len(files) > 1, small_source=size <= SMALL_BATCH_BYTES
     )
     run_date = F.lit(run_ts).cast("date").alias("run_date")
-    lost = plan.duplicates.withColumn("action", F.lit("duplicate")).unionByName(
-        plan.dropped.withColumn("action", F.lit("reject"))
+    marked = lambda df, action, reason: df.withColumns({"action": F.lit(action), "reason": F.lit(reason)})
+    surplus = landed.where(F.col(SURPLUS).isNotNull()).select(*ORDER, RAW)
+    lost = (
+        marked(plan.duplicates, "duplicate", "key repeated in file")
+        .unionByName(marked(plan.dropped, "reject", "incomplete key"))
+        .unionByName(marked(surplus, "reject", "more cells than the header"))
     )
     base = f"{store.root}/rejects/run_id={run_id}"
-    lost.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, "action", F.col(RAW).alias("raw")).write.mode(
+    lost.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, "action", "reason", F.col(RAW).alias("raw")).write.mode(
         "overwrite"
     ).partitionBy("run_date", "feed").parquet(base)
     acted = f"{store.root}/actions/{spec.table}/run_id={run_id}"

@@ -10,7 +10,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyarrow.fs import FileSystem
 
-HEADER_BYTES = 1 << 20
+PIECE_BYTES = 1 << 16
 CHUNK_BYTES = 8 << 20
 
 
@@ -26,15 +26,29 @@ def open_stream(path: str):
     return fs.open_input_stream(name)
 
 
+def first_record(stream) -> bytes:
+    """Everything before the first line break outside quotes, however long it is."""
+    parts: list[bytes] = []
+    quotes = 0
+    while piece := stream.read(PIECE_BYTES):
+        at = -1
+        for line in piece.splitlines(keepends=True):
+            quotes += line.count(b'"')
+            at += len(line)
+            if quotes % 2 == 0 and line.endswith(b"\n"):
+                return b"".join([*parts, piece[: at + 1]])
+        parts.append(piece)
+    return b"".join(parts)
+
+
 def read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First line of each file."""
+    """First record of each file: a header may hold line breaks in quotes."""
     for batch in batches:
         paths = batch.column("path").to_pylist()
         lines = []
         for path in paths:
             with open_stream(path) as f:
-                line = f.read(HEADER_BYTES).split(b"\n", 1)[0]
-                lines.append(line.decode("utf-8-sig").rstrip("\r"))
+                lines.append(first_record(f).decode("utf-8-sig").rstrip("\r\n"))
         yield pa.RecordBatch.from_pydict({"path": paths, "header": lines})
 
 

@@ -73,6 +73,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def stored_schema(self) -> StructType | None:
+        """Columns of the stored rows, or None before there are any."""
+        paths = [p for _, p in self._current()]
+        return self.spark.read.parquet(paths[0]).schema if paths else None
+
     def touched(self, source: DataFrame) -> set[str]:
         """Partitions a batch falls into, at most as many as the table has."""
         return {r[0] for r in source.select(self.part.alias("p")).distinct().collect()}
@@ -89,11 +94,12 @@ class SnapshotTable:
         version = 1 + (self._log().agg(F.max("version")).first()[0] or 0)
         folder = f"{self.root}/data/{version:010d}-{uuid.uuid4().hex}"
         names = self.schema.fieldNames()
-        # Rows of a partition are brought together for few, large files; adaptive execution splits a
-        # partition that holds most of the rows.
-        rows.select(*names, part.alias(PART)).hint("rebalance", PART).write.partitionBy(PART).parquet(
-            folder
-        )
+        out = rows.select(*names, part.alias(PART))
+        if kind == REPLACE:
+            # Rows of a partition are brought together for few, large files; adaptive execution splits a
+            # partition that holds most of the rows. Appended rows are one partition and stay where they are.
+            out = out.hint("rebalance", PART)
+        out.write.partitionBy(PART).parquet(folder)
         written = {
             r[0]
             for r in list_files(self.spark, folder, "*.parquet")

@@ -7,6 +7,7 @@ read with its own column list; the groups are united by name.
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections import defaultdict
 from collections.abc import Callable
@@ -46,7 +47,7 @@ def listed_by_extension(files: DataFrame, extensions: tuple[str, ...]) -> DataFr
 
 
 def headers_of(files: DataFrame) -> DataFrame:
-    """First line of each file; one small read per file, spread over the executors."""
+    """First record of each file; one small read per file, spread over the executors."""
     cloudpickle.register_pickle_by_value(heads)
     return files.select("path").mapInArrow(heads.read_heads, "path string, header string")
 
@@ -71,7 +72,8 @@ def column_names(header: str) -> list[str]:
     """Names of a header line; a blank name gets its position, a repeated one a number."""
     names: list[str] = []
     taken: set[str] = set()
-    for i, cell in enumerate(next(csv.reader([header]))):
+    csv.field_size_limit(max(csv.field_size_limit(), len(header) + 1))
+    for i, cell in enumerate(next(csv.reader(io.StringIO(header, newline="")), [])):
         name = base = cell if cell.strip() else f"unnamed: {i}"
         n = 0
         while name.lower() in taken:
@@ -93,10 +95,23 @@ def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
     return {r["path"] for r in found.toLocalIterator()}
 
 
-def read_csv_strings(spark: SparkSession, paths: list[str] | str, with_position: bool = False) -> DataFrame:
-    """All columns as strings, files with different headers united by name.
+RECORD = "_record"
 
-    The row sequence is only stable inside one scan: land the frame as a table before using it twice.
+
+def surplus_text(cells: int) -> Column:
+    """The whole record where it has more cells than the header, else NULL. Spark keeps the record of a row whose
+    cells don't fit; commas outside quotes are counted for those rows only."""
+    bare = F.regexp_replace(RECORD, r'"[^"]*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return F.when(F.col(RECORD).isNotNull() & (commas >= cells), F.col(RECORD))
+
+
+def read_csv_strings(
+    spark: SparkSession, paths: list[str] | str, with_position: bool = False, surplus: str | None = None
+) -> DataFrame:
+    """All columns as strings, files with different headers united by name. Short rows end in NULLs.
+
+    ``surplus`` names a column that holds the whole record of a row with more cells than its header. The row sequence is only stable inside one scan: land the frame as a table before using it twice.
     """
     if isinstance(paths, str):
         files = list_files(spark, paths, "*.csv")
@@ -113,9 +128,14 @@ def read_csv_strings(spark: SparkSession, paths: list[str] | str, with_position:
 
     def read(header: str, multi_line: bool, members: list[str]) -> DataFrame:
         schema = StructType([StructField(n, StringType()) for n in column_names(header)])
-        df = spark.read.csv(
-            sorted(members), schema=schema, header=True, escape='"', multiLine=multi_line
-        )
+        options = {"header": True, "escape": '"', "multiLine": multi_line, "maxColumns": len(schema) + 2**15}
+        if surplus is None:
+            df = spark.read.csv(sorted(members), schema=schema, **options)
+        else:
+            cells = len(schema)
+            reader = spark.read.option("columnPruning", "false").option("columnNameOfCorruptRecord", RECORD)
+            df = reader.schema(schema.add(RECORD, StringType())).options(**options).csv(sorted(members))
+            df = df.withColumn(surplus, surplus_text(cells)).drop(RECORD)
         return _with_position(df) if with_position else df
 
     frames = [read(*group, members) for group, members in sorted(groups.items())]

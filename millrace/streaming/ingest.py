@@ -49,6 +49,7 @@ def ingest_feed(
 
     return (
         reader.load(inbox)
+        .select("path")
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
