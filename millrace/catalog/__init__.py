@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from millrace.catalog import dedups, feeds, merges, projection, reports, scalars, scans, streams
+from millrace.catalog import dedups, feeds, merges, projection, reports, runs, scalars, scans, streams
 from millrace.catalog.base import QUERIES, SQL
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "merges",
     "projection",
     "reports",
+    "runs",
     "scalars",
     "scans",
     "streams",

@@ -68,10 +68,14 @@ class SnapshotTable:
 
     def read(self, parts: set[str] | None = None) -> DataFrame:
         """Current rows, or those of some partitions only."""
+        return self.read_as(self.schema, parts)
+
+    def read_as(self, schema: StructType, parts: set[str] | None = None) -> DataFrame:
+        """The same with the columns of another schema, such as that of the stored rows."""
         paths = [p for part, p in self._current() if parts is None or part in parts]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def stored_schema(self) -> StructType | None:
         """Columns of the stored rows, or None before there are any."""
