@@ -32,9 +32,19 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         start = stop
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """A to Z in lower case, byte by byte: bytes of other characters are never in that range."""
+    plain = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, places, data = plain.buffers()
+    at = np.frombuffer(places, dtype=np.int64)[plain.offset : plain.offset + len(plain) + 1] if len(plain) else np.zeros(1, dtype=np.int64)
+    own = np.frombuffer(data or b"", dtype=np.uint8)[at[0] : at[-1]].copy()
+    own[(own >= ord("A")) & (own <= ord("Z"))] += 32
+    return pa.LargeStringArray.from_buffers(len(plain), pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(own.tobytes()))
+
+
 def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words of the texts, A-Z lowered, and how many each text has."""
-    plain = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    plain = pc.ascii_trim_whitespace(lowered(texts))
     split = pc.ascii_split_whitespace(plain)
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
     blank = pc.equal(plain, "").to_numpy(zero_copy_only=False)
