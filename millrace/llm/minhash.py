@@ -5,8 +5,8 @@
 2. Bands of the signature name buckets; only buckets with two classes or more are kept.
 3. Candidates are compared in rounds. A round pairs the classes of a bucket with one of them: first with the smallest
    id, then with one picked by hash from the bucket's largest component so far. Buckets whose classes all are in one
-   component are done. After the rounds, pairs from different components in a bucket that are not yet compared are
-   compared all. So a bucket of thousands of near copies costs a few comparisons per member, and no link between
+   component are done. After the rounds, all pairs from different components in a bucket are compared, in blocks, that can be
+   similar enough at all, by the sizes of their sets and the shingles that no other class left has. So a bucket of thousands of near copies costs a few comparisons per member, and no link between
    different components is left out.
 4. A comparison reads signatures in batches. After each batch, a pair goes on only if the posterior probability of a
    similarity at the threshold or above (uniform prior) is at least ``miss``.
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ class Settings:
     miss: float = 1e-6
     rounds: int = 2
     broadcast_rows: int = 500_000
+    block_classes: int = 512
+    block_bytes: int = 8 << 20
 
     @property
     def hashes(self) -> int:
@@ -198,6 +201,79 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(split, "bucket")
 
 
+def _alone(spark: SparkSession, texts: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
+    """(rep, alone): how many shingles of each class no other of these classes has. Two classes have at most the rest
+    of either in common, which rules out pairs without comparing them."""
+
+    def run(batches):
+        for batch in batches:
+            for start, stop in slices(batch.column(1)):
+                h, sizes = shingle_hashes(batch.column(1).slice(start, stop - start), settings.words)
+                at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+                held = pa.LargeListArray.from_arrays(at, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), held], names=["rep", "h"])
+
+    own = texts.join(reps, "rep", "left_semi").mapInArrow(run, "rep long, h array<long>").select("rep", F.explode("h").alias("h"))
+    single = own.groupBy("h").agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1").groupBy("rep").agg(F.count("*").alias("c"))
+    several = texts.groupBy("rep").agg(F.count("*").alias("texts")).where("texts > 1")  # ids that were given twice
+    both = reps.join(single, "rep", "left").join(several, "rep", "left")
+    return land(spark, both.select("rep", F.when(F.col("texts").isNull(), F.coalesce("c", F.lit(0))).otherwise(0).alias("alone")), "dup-alone")
+
+
+def _links_across(spark: SparkSession, rest: DataFrame, classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between different components in a bucket, landed; rest: (bucket, hub, rep, n, root) of open buckets.
+
+    Classes that share a bucket share its hub, so all classes of a hub's open buckets make one group. A group is cut
+    into blocks of a bounded number of classes and bytes, and each pair of blocks is one task's input. A task compares
+    the pairs that meet in a band, have different roots, and can be similar enough by size; it returns links only.
+    """
+    ship(spark)
+    percent = settings.percent
+    rest = land(spark, rest, "dup-rest")
+    work = rest.select("hub", "rep", "n", "root").distinct()
+    work = work.join(_alone(spark, texts, rest.select("rep").distinct(), settings), "rep")
+    work = work.withColumn("s", F.col("n") - F.col("alone")).where(100 * F.col("s") >= percent * F.col("n"))
+    sized = texts.groupBy("rep").agg(F.max(F.octet_length("text")).alias("bytes"))
+    work = land(spark, work.join(sized, "rep").select("hub", "rep", "n", "s", "root", "bytes"), "dup-work")
+    group = work.groupBy("hub").agg(F.count("*").alias("m"), F.sum("bytes").alias("bytes"), F.min("root").alias("low"), F.max("root").alias("high"))
+    blocks = F.greatest(F.ceil(F.col("m") / settings.block_classes), F.ceil(F.col("bytes") / settings.block_bytes)).cast("int")
+    group = group.where("low <> high").select("hub", blocks.alias("blocks"))
+    placed = work.drop("bytes").join(group, "hub").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    turns = placed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    turns = turns.withColumns({"i": F.least("block", "turn"), "j": F.greatest("block", "turn")}).drop("turn", "blocks")
+    held = classes.select("rep", "n", "sig").join(texts, "rep")
+    full = turns.join(held, ["rep", "n"])
+    found = full.groupBy("hub", "i", "j").applyInPandas(lambda key, frame: _compare_blocks(key, frame, settings), "a long, b long")
+    return land(spark, found.distinct(), "dup-links")
+
+
+def _compare_blocks(key: tuple, frame: pd.DataFrame, settings: Settings) -> pd.DataFrame:
+    frame = frame.sort_values("rep", ignore_index=True)
+    rep, n, s, root = (frame[c].to_numpy(np.int64) for c in ("rep", "n", "s", "root"))
+    sig = np.frombuffer(b"".join(frame["sig"]), dtype=np.uint32).reshape(len(frame), settings.bands, settings.rows)
+    flat = sig.reshape(len(frame), -1)
+    block = frame["block"].to_numpy()
+    left, right = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
+    sets: dict[int, set] = {}
+    of = lambda k: sets[k] if k in sets else sets.setdefault(k, shingle_set(frame["text"][k], settings.words))
+    steps = least_matches(settings)
+    found = []
+    for x in left:
+        y = right[(root[right] != root[x]) & ((100 + settings.percent) * np.minimum(s[right], s[x]) >= settings.percent * (n[right] + n[x]))]
+        if key[1] == key[2]:
+            y = y[rep[y] > rep[x]]
+        y = y[(sig[y] == sig[x]).all(axis=2).any(axis=1)]
+        done, matches = 0, np.zeros(len(y), dtype=np.int64)
+        for upto, least in steps:
+            matches += (flat[y, done:upto] == flat[x, done:upto]).sum(axis=1)
+            y, matches, done = y[matches >= least], matches[matches >= least], upto
+        for k in y:
+            common = len(of(x) & of(k))
+            if 100 * common >= settings.percent * (len(of(x)) + len(of(k)) - common):
+                found.append((min(rep[x], rep[k]), max(rep[x], rep[k])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, settings: Settings = PRODUCTION, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -237,14 +313,9 @@ def near_duplicates(
         if more.isEmpty():
             continue
         roots = land(spark, components(spark, more.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "dup-roots")
-    rest = _labelled(members, roots).where("rep <> hub")
-    other = rest.select("bucket", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"))
-    across = rest.join(other, "bucket").where("rep < other AND root <> other_root").where(_sizes_fit("n", "other_n", settings))
-    fresh = land(spark, across.select(*pair("rep", "other")).distinct(), "dup-pairs")
-    if not fresh.isEmpty():
-        more = _links(spark, fresh, classes, texts, settings)
-        if not more.isEmpty():
-            roots = components(spark, more.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+    more = _links_across(spark, _labelled(members, roots).where("rep <> hub"), classes, texts, settings)
+    if not more.isEmpty():
+        roots = components(spark, more.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
 
     of_class = classes.select("d1", "d2", "n", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     of_class = of_class.select("d1", "d2", "n", F.coalesce("root", "rep").alias("component"))
