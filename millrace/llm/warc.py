@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.text import land, ship
 from millrace.session import scratch_path
+from millrace.sources.heads import arrow_path
 
 #: Fixed values of the formats: magic number of the dictionary's frame, profile of revisits.
 SKIPPABLE = 0x184D2A5D
@@ -131,7 +132,7 @@ def write(
     def run(batches):
         from pyarrow import fs
 
-        store, folder = fs.FileSystem.from_uri(root)
+        store, folder = fs.FileSystem.from_uri(arrow_path(root))
         store.create_dir(folder, recursive=True)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstandard.ZstdCompressor(level=settings.level, dict_data=shared, write_checksum=True, write_content_size=True)
@@ -218,7 +219,7 @@ def read(spark: SparkSession, manifest: DataFrame, payloads: bool = False) -> Da
 
         for batch in batches:
             for path, root in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store, _ = fs.FileSystem.from_uri(root)
+                store, _ = fs.FileSystem.from_uri(arrow_path(root))
                 with store.open_input_stream(path, compression=None) as source:
                     held, size = [], 0
                     for at, raw in frames(source):
