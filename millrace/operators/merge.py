@@ -156,6 +156,12 @@ def append(target: DataFrame, source: DataFrame) -> MergeResult:
     )
 
 
+def _first_files(rows: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> DataFrame:
+    """Rows with ``_first``, the first file that has their key; NULL for an incomplete key."""
+    first = rows.where(~incomplete(keys)).groupBy(*keys).agg(F.min("file_path").alias("_first"))
+    return spread_join(rows, first, keys, order, "left", hot_rows)
+
+
 def contact_only(
     target: DataFrame,
     source: DataFrame,
@@ -164,21 +170,36 @@ def contact_only(
     order: list[str],
     hot_rows: int = HOT_ROWS,
     small_source: bool = False,
+    many_files: bool = False,
 ) -> MergeResult:
     """Insert new rows, all copies; on a match change the contact columns to those of the last copy.
 
-    A file whose path the target already holds is skipped whole.
+    A file whose path the target already holds is skipped whole. ``many_files``: the files of the source
+    count as merged one after another by path, in one pass: the first file with a new key inserts it, later
+    ones change its contact columns.
     """
     arriving = source.select("file_path").distinct()
     seen = target.select("file_path").distinct().join(arriving, "file_path", "left_semi")
     batch = spread_join(source, seen, ["file_path"], order, "left_anti", hot_rows)
     last = keep_last(batch.where(~incomplete(keys)), keys, order)
     updated = update_matches(target, last, keys, contact, hot_rows, small_source)
-    inserted = new_rows(batch, target, keys, order, hot_rows, small_source).select(target.columns)
-    return MergeResult(
-        updated.unionByName(inserted),
-        lambda: matched_actions(batch, target, keys, order, small_source),
-    )
+    inserted = new_rows(batch, target, keys, order, hot_rows, small_source)
+    if not many_files:
+        return MergeResult(
+            updated.unionByName(inserted.select(target.columns)),
+            lambda: matched_actions(batch, target, keys, order, small_source),
+        )
+    placed = _first_files(inserted, keys, order, hot_rows)
+    later = F.coalesce(F.col("file_path") > F.col("_first"), F.lit(False))
+    ends = _values(keep_last(placed.where(later), keys, order), keys, contact)
+    opened = spread_join(placed.where(~later), ends, keys, order, "left", hot_rows)
+
+    def build_actions() -> DataFrame:
+        acted = matched_actions(batch, target, keys, order, small_source)
+        known = _first_files(acted, keys, order, hot_rows)
+        return known.withColumn("action", F.when(later, UPDATE).otherwise(F.col("action"))).drop("_first")
+
+    return MergeResult(updated.unionByName(_apply(opened, target.columns, contact)), build_actions)
 
 
 def if_changed(

@@ -116,7 +116,7 @@ def plan_feed(
             result = merge.append(target, source)
         case "contact_only":
             result = merge.contact_only(
-                target, source, keys, update, order, small_source=small_source
+                target, source, keys, update, order, small_source=small_source, many_files=many_files
             )
         case "if_changed":
             result = merge.if_changed(
@@ -232,7 +232,7 @@ def run_feed(
     todo = {r["path"]: r["file_hash"] for r in fresh.toLocalIterator()}
     if not todo:
         return FeedResult(spec.code, "skipped", "file_already_processed", run_id)
-    sequential = spec.policy in ("contact_only", "if_changed")
+    sequential = spec.policy == "if_changed"
     batches = [[p] for p in sorted(todo)] if sequential else [sorted(todo)]
     summaries = []
     for i, batch in enumerate(batches):

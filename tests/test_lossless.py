@@ -1,5 +1,6 @@
 """Nothing of a feed file goes missing without a trace."""
 
+import random
 import struct
 
 import pytest
@@ -125,3 +126,23 @@ def test_dbf_field_types_and_stale_counts(spark, folder):
     dbf_file(f"{folder}/odd.dbf", [("C", "Q", 3)], [b" abc"])
     with pytest.raises(Exception, match="unknown field types"):
         spark.read.format("dbf").load(f"{folder}/odd.dbf").collect()
+
+
+def test_holdings_files_at_once_as_one_after_another(spark, folder):
+    rng = random.Random(6)
+    head = "BROK_DLR_C,FOLIO,SCHEME_NAM,ASSET_DATE,INV_NAME,MOBILE,UNITS"
+    paths = []
+    for n in range(4):
+        rows = [f"B,{rng.choice(['1', '2', '3', '4', '5', ''])},S,2024-0{rng.randint(1, 2)}-05,N{n}{i},{i},{n}" for i in range(12)]
+        paths.append(put(f"{folder}/in/{'dacb'[n]}.csv", "\n".join([head, *rows]) + "\n"))
+    before = put(f"{folder}/in0/x.csv", f"{head}\nB,1,S,2024-01-05,old,0,9\nB,1,S,2024-01-05,old,0,8\n")
+    spec, columns = FEEDS["wbr22"], ("folio", "asset_date", "inv_name", "mobile", "units", "file_path")
+    seen = {}
+    for name, runs in (("each", [[p] for p in sorted(paths)]), ("once", [paths])):
+        root = f"{folder}/{name}"
+        summaries = [run_feed(spark, spec, run, root, T1).summary for run in ([before], *runs)]
+        counts = [(r["source_file"], r["total_rows"], r["inserted"], r["updated"]) for s in summaries for r in s.collect()]
+        stored = FeedStore(spark, root).table(spec).read().select(*columns).collect()
+        seen[name] = sorted(counts), sorted(map(str, stored))
+    assert seen["each"] == seen["once"]
+    assert len(seen["once"][0]) == 5
