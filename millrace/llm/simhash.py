@@ -41,7 +41,7 @@ class Settings:
     words: int = 5
     radius: int = 3
     blocks: int = 5
-    rows_per_range: int = 2048
+    rows_per_range: int = 1024
 
 
 PRODUCTION = Settings()
@@ -120,7 +120,8 @@ def with_next(spark: SparkSession, docs: DataFrame, settings: Settings = PRODUCT
     grid = [k / QUANTILES for k in range(1, QUANTILES)]
     seen = ids.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.percentile_approx("doc_id", grid, 10_000).alias("cuts"), F.count("*").alias("n")).first()
     edges = [0, 0] if seen["low"] is None else [seen["low"], *seen["cuts"], seen["high"]]
-    steps = max(1, min(QUANTILES, seen["n"] // (settings.rows_per_range * QUANTILES)))
+    # The number of ranges and the rows of each both grow with the root of the rows, once there are enough.
+    steps = max(1, int(seen["n"] // (max(settings.rows_per_range, seen["n"] ** 0.5) * QUANTILES)))
     n = len(edges) - 1
 
     edge = F.array(*[F.lit(e).cast("long") for e in edges])
@@ -144,7 +145,7 @@ def with_next(spark: SparkSession, docs: DataFrame, settings: Settings = PRODUCT
     last = F.max("range").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.withColumn("before", F.coalesce(F.lag("range").over(ring), last))
     heads = heads.select(F.col("range").alias("r"), F.col("rank").alias("k"), "before")
-    # At most QUANTILES * (QUANTILES + 1) rows.
+    # At most as many rows as the root of all rows, or as there are quantiles.
     marked = plain.withColumn("rank", rank).join(F.broadcast(heads), (F.col("range") == F.col("r")) & (F.col("rank") == F.col("k")), "left")
     stays = F.struct(F.col("range").alias("place"), F.lit(0).alias("tail"))
     sent = F.struct(F.col("before").alias("place"), F.lit(1).alias("tail"))
