@@ -36,7 +36,7 @@ UNDETERMINED = "und"
 PART = 24
 START = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ class Settings:
     rounds: int = 3
     smoothing: float = 0.05
     unknown: float = 1e-9
-    known_words: int = 400_000
+    known_words: int = 100_000
     least_score: float = 0.5
 
 
@@ -333,6 +333,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "d
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), names.take(pa.array(np.where(best < 0, len(names) - 1, best))), pa.array(values)], names=["doc_id", "lang_pred", "score"]
             )
+            pa.default_memory_pool().release_unused()
 
     return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
@@ -348,6 +349,7 @@ def keep(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text")
         for b in batches:
             best, values = score(b.column(at))
             yield b.filter(pa.array((best >= 0) & (values >= held.value.settings.least_score)))
+            pa.default_memory_pool().release_unused()
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)
 

@@ -112,6 +112,7 @@ def signatures(spark: SparkSession, docs: DataFrame, settings: Settings, doc_id:
                     ],
                     names=["id", "n", "d1", "d2", "sig"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return slim.mapInArrow(run, f"id {kind}, n long, d1 long, d2 long, sig binary")
 
@@ -156,11 +157,13 @@ def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
 
         for batch in batches:
             hits = []
-            for n, (a, b, s, t) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
-                x, y = sets(a, s), sets(b, t)
-                common = len(x & y)
-                if common and 100 * common >= settings.percent * (len(x) + len(y) - common):
-                    hits.append(n)
+            for start in range(0, batch.num_rows, 256):  # few texts at a time as Python strings
+                rows = zip(*(c.to_pylist() for c in batch.slice(start, 256).columns), strict=True)
+                for n, (a, b, s, t) in enumerate(rows, start):
+                    x, y = sets(a, s), sets(b, t)
+                    common = len(x & y)
+                    if common and 100 * common >= settings.percent * (len(x) + len(y) - common):
+                        hits.append(n)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(hits, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _M = np.uint64(0x9DDFEA08EB382D69)
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
