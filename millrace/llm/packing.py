@@ -3,13 +3,15 @@
 Documents are dealt by a hash of their id and length into shards of a bounded number of pieces (``Settings.shard``);
 each shard is packed by itself, so no step sees more than a shard, and the loss is a few half-filled bins per shard.
 
-A document longer than the largest length is cut into pieces of that length and a rest; nothing is dropped. Inside a
+Sizes are tokens of ``Settings.tokenizer``, the one that ``tokens`` counts with. A document of more tokens than the
+largest length is cut, between two tokens, into pieces of that length and a rest; nothing is dropped. Inside a
 shard, pieces go from long to short. A piece goes into the open bin it fills best, of whatever length. If none holds
 it, the length with the least cost for each token that the bin is expected to hold is opened: the cost of a bin is an
 overhead, its length and a quadratic part, and it is expected to hold what is left of the shard, up to its length. At
 the end each bin is downsized to the shortest permitted length that holds its contents.
 
-Defined cases: a text without words has length 0 and no piece, but still a row, with a null bin. Repeated rows are
+Defined cases: a text without tokens has length 0 and no piece, but still a row, with a null bin. A word belongs to the
+piece that its first token stands in, so a piece inside one long word has no words. Repeated rows are
 packed each. Ids may be null or repeat. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -20,10 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.text import ship, words
+from millrace.llm import tokens
+from millrace.llm.shingles import slices
+from millrace.llm.text import BLANKS, ship
 
 
 @dataclass(frozen=True)
@@ -32,6 +38,7 @@ class Settings:
     overhead: float = 96.0
     quadratic: float = 32_768.0
     shard: int = 8_192
+    tokenizer: str = tokens.PRODUCTION.tokenizer
 
     def cost(self, length: int) -> float:
         """What a sequence of this length takes to train on, in tokens."""
@@ -77,36 +84,91 @@ def pack(sizes: np.ndarray, settings: Settings = PRODUCTION) -> tuple[np.ndarray
     return where, final[where] if len(used) else where, offset
 
 
+#: Of a piece: its number, its words (start in the document, number), and its tokens likewise.
+PIECE = "piece int, piece_start long, piece_size long, token_start long, piece_tokens long"
+
+
+def cut(texts: pa.Array, counts: tokens.WordCounts, longest: int) -> tuple[np.ndarray, ...]:
+    """Row of each piece of the texts, tokens of its text, and PIECE; a text without tokens has one piece of none."""
+    plain = pc.utf8_trim(pc.fill_null(texts.cast(pa.large_string()), ""), characters=BLANKS)
+    split = pc.ascii_split_whitespace(plain)
+    each = split.flatten().dictionary_encode()
+    of = each.indices.to_numpy(zero_copy_only=False)
+    real = pc.not_equal(each.dictionary, "").to_numpy(zero_copy_only=False)[of]  # a blank text splits into an empty word
+    size = counts(each.dictionary.to_pylist())[of]
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    before = np.concatenate([[0], np.cumsum(size)])
+    edge = before[np.searchsorted(owner, np.arange(len(texts) + 1))]
+    total = np.diff(edge)
+    pieces = np.maximum(1, -(-total // longest))
+    first = np.cumsum(pieces) - pieces
+    row = np.repeat(np.arange(len(texts)), pieces)
+    number = np.arange(len(row)) - first[row]
+    at = first[owner] + np.minimum((before[:-1] - edge[owner]) // longest, pieces[owner] - 1)
+    n_words = np.bincount(at[real], minlength=len(row))
+    upto = np.cumsum(n_words) - n_words
+    start = number * longest
+    return row, total[row], number, upto - upto[first[row]], n_words, start, np.minimum(total[row] - start, longest)
+
+
+def _pieces(spark: SparkSession, sized: DataFrame, settings: Settings, path: str | None) -> DataFrame:
+    """The pieces of (doc_id, text), by tokens."""
+    ship(spark)
+    kind, longest = sized.schema["doc_id"].dataType.simpleString(), max(settings.lengths)
+    names = ["n_tokens", *[c.split()[0] for c in PIECE.split(", ")]]
+
+    def run(batches):
+        import public_tokenizers
+
+        counts = tokens.word_counts(path or public_tokenizers.path(settings.tokenizer))
+        for batch in batches:
+            for a, b in slices(batch.column(1), 1 << 20):
+                row, *columns = cut(batch.column(1).slice(a, b - a), counts, longest)
+                arrays = [pa.array(c, pa.int32() if n == "piece" else pa.int64()) for n, c in zip(names, columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(row)), *arrays], names=["doc_id", *names])
+
+    return sized.mapInArrow(run, f"doc_id {kind}, n_tokens long, {PIECE}")
+
+
+def _measured(docs: DataFrame, length: Column, doc_id: Column, longest: int) -> DataFrame:
+    """The pieces of documents of the given lengths; words are not told from tokens."""
+    sized = docs.select(doc_id.alias("doc_id"), F.coalesce(length.cast("long"), F.lit(0)).alias("n_tokens"))
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_tokens") - 1, F.lit(0)), F.lit(longest).cast("long"))
+    pieces = sized.select("doc_id", "n_tokens", F.posexplode(starts).alias("piece", "piece_start"))
+    pieces = pieces.withColumn("piece_size", F.least(F.col("n_tokens") - F.col("piece_start"), F.lit(longest)))
+    return pieces.withColumns({"token_start": F.col("piece_start"), "piece_tokens": F.col("piece_size")})
+
+
 def pack_table(
-    spark: SparkSession, docs: DataFrame, length: Column | None = None, settings: Settings = PRODUCTION, doc_id: str = "doc_id", text: str = "text"
+    spark: SparkSession,
+    docs: DataFrame,
+    length: Column | None = None,
+    settings: Settings = PRODUCTION,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    path: str | None = None,
 ) -> DataFrame:
-    """One row per piece: doc_id, n_tokens of the document, piece number, piece_start and piece_size in it, bin_shard
-    and bin_no that name the bin, bin_length, and bin_offset of the piece. ``length`` counts words if not given."""
+    """One row per piece: doc_id, n_tokens of the document, piece number, piece_start and piece_size (the words before
+    it and in it), token_start and piece_tokens likewise, bin_shard and bin_no that name the bin, bin_length, and
+    bin_offset of the piece, both in tokens. ``length`` takes the place of the count of tokens; ``path`` names the
+    tokenizer's file on the executors."""
     ship(spark)
-    longest = max(settings.lengths)
-    size = F.size(words(F.col(f"`{text}`"))) if length is None else length
-    sized = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), size.cast("long").alias("n_tokens"))
     shards = max(1, -(-docs.count() // settings.shard))
-    kind = sized.schema["doc_id"].dataType.simpleString()
-    cut = F.when(F.col("n_tokens") > 0, F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(longest).cast("long")))
-    pieces = sized.select("doc_id", "n_tokens", F.posexplode_outer(cut).alias("piece", "piece_start"))
-    pieces = pieces.withColumn("piece_size", F.least(F.col("n_tokens") - F.col("piece_start"), F.lit(longest)))
-    pieces = pieces.withColumn("bin_shard", F.pmod(F.xxhash64("doc_id", "n_tokens", "piece"), F.lit(shards)).cast("int"))
+    name = F.col(f"`{doc_id}`")
+    if length is None:
+        pieces = _pieces(spark, docs.select(name.alias("doc_id"), F.col(f"`{text}`").alias("text")), settings, path)
+    else:
+        pieces = _measured(docs, length, name, max(settings.lengths))
+    kind = pieces.schema["doc_id"].dataType.simpleString()
+    shard = F.pmod(F.xxhash64("doc_id", "n_tokens", "piece"), F.lit(shards)).cast("int")
+    # A row without tokens goes to no bin; its shard is a negative one, so that the texts are read once.
+    pieces = pieces.withColumn("bin_shard", F.when(F.col("n_tokens") > 0, shard).otherwise(-1 - shard))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["piece_size", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        at, ends, offset = pack(frame["piece_size"].to_numpy(np.int64), settings)
+        if frame["bin_shard"].iloc[0] < 0:
+            return frame.assign(piece=None, piece_start=None, token_start=None, bin_shard=None, bin_no=None, bin_length=None, bin_offset=None)
+        frame = frame.sort_values(["piece_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        at, ends, offset = pack(frame["piece_tokens"].to_numpy(np.int64), settings)
         return frame.assign(bin_no=at.astype("int32"), bin_length=ends, bin_offset=offset)
 
-    schema = f"doc_id {kind}, n_tokens long, piece int, piece_start long, piece_size long, bin_shard int, bin_no int, bin_length long, bin_offset long"
-    packed = pieces.where("piece_start IS NOT NULL").groupBy("bin_shard").applyInPandas(run, schema)
-    empty = pieces.where("piece_start IS NULL").select(
-        "doc_id",
-        "n_tokens",
-        F.lit(None).cast("int").alias("piece"),
-        "piece_start",
-        F.lit(0).cast("long").alias("piece_size"),
-        F.lit(None).cast("int").alias("bin_shard"),
-        *[F.lit(None).cast(t).alias(c) for c, t in (("bin_no", "int"), ("bin_length", "long"), ("bin_offset", "long"))],
-    )
-    return packed.union(empty)
+    return pieces.groupBy("bin_shard").applyInPandas(run, f"doc_id {kind}, n_tokens long, {PIECE}, bin_shard int, bin_no int, bin_length long, bin_offset long")

@@ -124,7 +124,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where every piece of every document goes, counted in words."""
+    """Where every piece of every document goes, counted in tokens."""
     return packing.pack_table(spark, table(spark, sf_dir, "documents"))
 
 

@@ -20,6 +20,7 @@ import os
 from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,42 @@ def load(path: str):
 _loaded: dict[str, object] = {}
 
 
+class WordCounts:
+    """Tokens of single words; keeps the words it has met, up to ``KNOWN_WORDS``, then starts afresh.
+
+    A tokenizer that drops white space and never lets a token cross it makes of a text what it makes of its words.
+    """
+
+    KNOWN_WORDS, LONGEST_KEPT, BATCH = 200_000, 64, 4_096
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.known: dict[str, int] = {}
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        """Counts of distinct words."""
+        out = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(out < 0)
+        for a in range(0, len(new), self.BATCH):
+            at = new[a : a + self.BATCH]
+            fresh = [words[k] for k in at]
+            out[at] = [len(got) for got in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            if len(self.known) + len(fresh) > self.KNOWN_WORDS:
+                self.known.clear()
+            self.known.update((w, int(n)) for w, n in zip(fresh, out[at], strict=True) if len(w) <= self.LONGEST_KEPT)
+        return out
+
+
+_word_counts: dict[str, WordCounts] = {}
+
+
+def word_counts(file: str) -> WordCounts:
+    """The counts of this worker, kept from task to task."""
+    if file not in _word_counts:
+        _word_counts[file] = WordCounts(load(file))
+    return _word_counts[file]
+
+
 def count_tokens(
     spark: SparkSession, docs: DataFrame, settings: Settings = PRODUCTION, path: str | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

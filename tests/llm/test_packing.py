@@ -1,10 +1,17 @@
+import random
+
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from millrace.llm import packing
+from millrace.llm import packing, tokens
+from tests.llm.test_tokens import BITS
 
 S = packing.PRODUCTION
+KEPT: list = []
 
 
 @given(st.lists(st.integers(1, max(S.lengths)), max_size=200))
@@ -54,3 +61,35 @@ def test_reruns_agree(spark, documents):
     rows = [(i % 50, "w " * (i % 97)) for i in range(200)]
     a, b = (sorted(map(str, packing.pack_table(spark, documents(rows, p)).collect())) for p in (1, 5))
     assert a == b
+
+
+def test_bins_hold_tokens(spark, documents):
+    tokenizer = tokens.load(public_tokenizers.path(tokens.PRODUCTION.tokenizer))
+    count = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False))
+    rng, longest = random.Random(3), max(S.lengths)
+    bits = ["Donaudampfschiff ", "x", "\n", "日本", "42 ", "don't ", "<|endoftext|>", " ", "é ", "%%% "]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 200)))) for i in range(80)]
+    rows += [(100, "日本語" * 5_000), (101, "antidisestablishmentarianism " * 2_000), (102, "qzx" * 9_000), (103, None), (104, " \n")]
+    got = packing.pack_table(spark, documents(rows)).toPandas()
+    assert any(count(t) > longest >= len(t.split()) for _, t in rows if t)
+    for i, t in rows:
+        own = got[got["doc_id"] == i].sort_values("piece")
+        n = count(t)
+        assert set(own["n_tokens"]) == {n} and own["piece_tokens"].tolist() == [min(longest, n - k) for k in range(0, max(n, 1), longest)]
+        assert own["piece_size"].sum() == len((t or "").split())
+        if n:
+            assert own["token_start"].tolist() == list(range(0, n, longest))
+            assert own["piece_start"].tolist() == (own["piece_size"].cumsum() - own["piece_size"]).tolist()
+    bins = got[got["n_tokens"] > 0].groupby(["bin_shard", "bin_no"]).agg(used=("piece_tokens", "sum"), length=("bin_length", "max"))
+    assert (bins["used"] <= bins["length"]).all()
+    words = documents(rows).selectExpr("doc_id", "size(split(text, ' ')) AS n")
+    assert packing.pack_table(spark, words, length=F.col("n")).where("n_tokens > 0 AND bin_no IS NULL").count() == 0
+
+
+@given(st.lists(st.sampled_from(BITS), max_size=150).map("".join))
+def test_tokens_of_a_text_are_those_of_its_words(text):
+    tokenizer = tokens.load(public_tokenizers.path(tokens.PRODUCTION.tokenizer)) if not KEPT else KEPT[0]
+    KEPT[:] = [tokenizer]
+    row, total, *_ = packing.cut(pa.array([text]), tokens.WordCounts(tokenizer), 7)
+    n = len(tokenizer.encode(text, add_special_tokens=False))
+    assert set(total) == {n} and len(row) == max(1, -(-n // 7))
