@@ -14,13 +14,18 @@ A character outside the vocabulary has one small probability in every language.
 lower case; a longer run than ``PART`` characters is scored in consecutive parts. Equal likelihoods go to the first
 language by code point. The score is the posterior of the language under equal priors. Repeated rows are judged one
 by one. Other columns are never read by a prediction; ``keep`` hands them on.
+
+The posterior of a long text is 1 whatever it says, so ``keep`` also holds a text's mean log-likelihood a character
+against the bound of its language (``with_bounds``): the median of the texts that were learned from, less ``margins``
+times the distance at which the ``lowest`` share of all of them lies below their medians, ``least_margin`` at least.
+A text in a language that was not learned, or in none, lies far below.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
@@ -49,6 +54,9 @@ class Settings:
     unknown: float = 1e-9
     known_words: int = 100_000
     least_score: float = 0.5
+    lowest: float = 0.01
+    margins: float = 3.0
+    least_margin: float = 1.0
 
 
 PRODUCTION = Settings()
@@ -181,6 +189,20 @@ class Model:
     pieces: tuple[str, ...]
     probs: np.ndarray  # pieces x languages
     settings: Settings
+    bounds: tuple[float, ...] = ()  # least mean log-likelihood a character, per language
+
+
+def _sample(docs: DataFrame, learn: Column | None, settings: Settings, doc_id: str, text: str, lang: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """(lang, text) that is learned from, and the languages."""
+    known = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
+    known = known if learn is None else known.where(learn)
+    named = known.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.xxhash64(F.col(f"`{doc_id}`").cast("string")).alias("pick"), F.col(f"`{text}`").alias("text"))
+    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    languages = tuple(sorted(sizes))
+    if not languages:
+        return named.select("lang", "text"), languages
+    share = F.element_at(F.map_from_arrays(F.array(*map(F.lit, languages)), F.array(*[F.lit(min(1.0, settings.docs_per_lang / sizes[x])) for x in languages])), F.col("lang"))
+    return named.where(F.pmod("pick", F.lit(1_000_003)) < share * 1_000_003).select("lang", "text"), languages
 
 
 def fit(
@@ -196,15 +218,9 @@ def fit(
     """Learns from the rows where ``learn`` holds and neither text nor language is null."""
     ship(spark)
     pieces = vocabulary(vocabulary_path)
-    known = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
-    known = known if learn is None else known.where(learn)
-    named = known.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.xxhash64(F.col(f"`{doc_id}`").cast("string")).alias("pick"), F.col(f"`{text}`").alias("text"))
-    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
-    languages = tuple(sorted(sizes))
+    sample, languages = _sample(docs, learn, settings, doc_id, text, lang)
     if not languages:
         return Model((), tuple(pieces), np.zeros((len(pieces), 0)), settings)
-    share = F.element_at(F.map_from_arrays(F.array(*map(F.lit, languages)), F.array(*[F.lit(min(1.0, settings.docs_per_lang / sizes[x])) for x in languages])), F.col("lang"))
-    sample = named.where(F.pmod("pick", F.lit(1_000_003)) < share * 1_000_003)
     split = F.split(F.lower("text"), r"\s+")
     counted = sample.select("lang", F.explode(split).alias("word")).where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
     counted = land(spark, counted.coalesce(8), "lang-words")
@@ -276,21 +292,21 @@ class Scorer:
                 self.rows.update(zip(fresh, range(start, start + len(fresh)), strict=True))
         return out
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the language (-1: undetermined) and its score, per text."""
-        best, score = np.full(len(texts), -1, dtype=np.int64), np.zeros(len(texts))
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language (-1: undetermined), its score, and its mean log-likelihood a character, per text."""
+        best, score, mean = np.full(len(texts), -1, dtype=np.int64), np.zeros(len(texts)), np.zeros(len(texts))
         if not self.model.languages:
-            return best, score
+            return best, score, mean
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         start = 0
         while start < len(texts):
             stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_BYTES, "right")))
-            best[start:stop], score[start:stop] = self._slice(texts.slice(start, stop - start))
+            best[start:stop], score[start:stop], mean[start:stop] = self._slice(texts.slice(start, stop - start))
             start = stop
-        return best, score
+        return best, score, mean
 
-    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         letters = pc.match_substring_regex(texts, r"\pL").to_numpy(zero_copy_only=False)
         split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
@@ -300,7 +316,10 @@ class Scorer:
         total = np.stack([np.bincount(owner, weights=each[:, k], minlength=len(texts)) for k in range(each.shape[1])], axis=1)
         top = total.argmax(axis=1)
         posterior = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        return np.where(letters, top, -1), np.where(letters, np.clip(posterior, 0.0, 1.0), 0.0)
+        marked = pc.add(pc.utf8_length(words.dictionary), 1).to_numpy(zero_copy_only=False)[words.indices.to_numpy(zero_copy_only=False)]
+        size = np.bincount(owner, weights=marked, minlength=len(texts))
+        mean = total.max(axis=1) / np.maximum(size, 1)
+        return np.where(letters, top, -1), np.where(letters, np.clip(posterior, 0.0, 1.0), 0.0), mean
 
 
 _scorers: dict[str, Scorer] = {}
@@ -329,7 +348,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "d
         score = _scorer(key, held)
         names = pa.array([*held.value.languages, UNDETERMINED], pa.string())
         for b in batches:
-            best, values = score(b.column(1))
+            best, values, _ = score(b.column(1))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), names.take(pa.array(np.where(best < 0, len(names) - 1, best))), pa.array(values)], names=["doc_id", "lang_pred", "score"]
             )
@@ -338,17 +357,46 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "d
     return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def with_bounds(
+    spark: SparkSession, docs: DataFrame, model: Model, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> Model:
+    """``model`` with a bound per language, from the rows that ``fit`` learned from and whose language it finds."""
+    sample, languages = _sample(docs, learn, model.settings, doc_id, text, lang)
+    if not model.languages or languages != model.languages:
+        return model
+    key, held = _shared(spark, model)
+
+    def run(batches):
+        score = _scorer(key, held)
+        names = np.array([*held.value.languages, UNDETERMINED], dtype=object)
+        for b in batches:
+            best, _, mean = score(b.column(1))
+            found = names[best] == b.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(best[found]), pa.array(mean[found])], names=["lang", "mean"])
+
+    got = sample.mapInArrow(run, "lang long, mean double").toPandas()  # two numbers a text of the bounded sample
+    held.unpersist()
+    if got.empty:
+        return model
+    middle = got.groupby("lang")["mean"].median()
+    below = (got["lang"].map(middle) - got["mean"]).quantile(1 - model.settings.lowest)
+    margin = max(model.settings.least_margin, model.settings.margins * below)
+    return replace(model, bounds=tuple(float(middle.get(k, middle.median())) - margin for k in range(len(languages))))
+
+
 def keep(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose language is found with at least ``least_score``, with the columns they came with."""
+    """The rows whose language is found with at least ``least_score`` and that are as likely as the model's bound for
+    it, if it has bounds; with the columns they came with."""
     key, held = _shared(spark, model)
     at, names = docs.columns.index(text), docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches):
-        score = _scorer(key, held)
+        score, own = _scorer(key, held), held.value
+        least = np.array([*(own.bounds or [-np.inf] * len(own.languages)), np.inf])  # the last for undetermined
         for b in batches:
-            best, values = score(b.column(at))
-            yield b.filter(pa.array((best >= 0) & (values >= held.value.settings.least_score)))
+            best, values, mean = score(b.column(at))
+            yield b.filter(pa.array((best >= 0) & (values >= own.settings.least_score) & (mean >= least[best])))
             pa.default_memory_pool().release_unused()
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -74,6 +74,28 @@ def test_predict(spark, documents, clashing):
     assert not {901, 902, 903} & set(ids) and {i for i, *_ in rows} <= set(ids) and ids.count(0) == 2
 
 
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. " * 5,
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. " * 5,
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * 5,
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione. " * 5,
+]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_long_texts_in_no_learned_language_are_dropped(spark, documents):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    garbled = [" ".join("".join(rng.choice(letters, rng.integers(2, 11))) for _ in range(60)) for _ in range(20)]
+    planted = list(enumerate([*FOREIGN, *garbled], 10**9))
+    docs = corpus_pipeline.quality(spark, spark.read.parquet(f"{SF}/documents.parquet").select(*documents(planted).columns), SF)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs.union(documents(planted)), SF).select("doc_id").collect()}
+    assert not kept & {i for i, _ in planted}
+    assert len(kept) >= 0.99 * docs.count()
+
+
 def test_nothing_learned(spark, documents):
     df = documents([(1, "some words", None), (2, None, "en")])
     model = langid.fit(spark, df)
