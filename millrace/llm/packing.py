@@ -3,6 +3,9 @@
 Documents are dealt by a hash of their id and length into shards of a bounded number of pieces (``Settings.shard``);
 each shard is packed by itself, so no step sees more than a shard, and the loss is a few half-filled bins per shard.
 
+Documents in training order (``in_order``) are dealt by their place in it instead, ``Settings.stretch`` in a row to a
+shard: a sequence holds documents of one stretch of the run, and shards stand in the order of the run.
+
 Sizes are tokens of ``Settings.tokenizer``, the one that ``tokens`` counts with. A document of more tokens than the
 largest length is cut, between two tokens, into pieces of that length and a rest; nothing is dropped. Inside a
 shard, pieces go from long to short. A piece goes into the open bin it fills best, of whatever length. If none holds
@@ -11,8 +14,9 @@ overhead, its length and a quadratic part, and it is expected to hold what is le
 the end each bin is downsized to the shortest permitted length that holds its contents.
 
 Defined cases: a text without tokens has length 0 and no piece, but still a row, with a null bin. A word belongs to the
-piece that its first token stands in, so a piece inside one long word has no words. Repeated rows are
-packed each. Ids may be null or repeat. An empty table gives an empty result. Other columns are not read.
+piece that its first token stands in, so a piece inside one long word has no words. Repeated rows are packed each; two
+copies of a document can share a sequence only where their places in the run lie within one stretch. Ids may be null or
+repeat. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ class Settings:
     overhead: float = 96.0
     quadratic: float = 32_768.0
     shard: int = 8_192
+    stretch: int = 1_024
     tokenizer: str = tokens.PRODUCTION.tokenizer
 
     def cost(self, length: int) -> float:
@@ -111,10 +116,29 @@ def cut(texts: pa.Array, counts: tokens.WordCounts, longest: int) -> tuple[np.nd
     return row, total[row], number, upto - upto[first[row]], n_words, start, np.minimum(total[row] - start, longest)
 
 
+def in_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs``, as read from files, with ``position``: the row's place in the order in which the rows were written.
+
+    Spark numbers the files of a sorted table by its partitions, so files in order of their names, and the rows of
+    each, are the order.
+    """
+    place = docs.metadataColumn("_metadata")
+    found = docs.select(place["file_path"].alias("file")).groupBy("file").agg(F.count("*").alias("n")).collect()  # one row per file
+    starts, total = [], 0
+    for r in sorted(found):
+        starts.append((r["file"], total))
+        total += r["n"]
+    known = F.broadcast(spark.createDataFrame(starts, "packing_file string, packing_start long"))
+    joined = docs.select("*", place["file_path"].alias("packing_path"), place["row_index"].alias("packing_row"))
+    joined = joined.join(known, F.col("packing_path") == F.col("packing_file"))
+    return joined.withColumn("position", F.col("packing_start") + F.col("packing_row")).select(*[f"`{c}`" for c in docs.columns if c != "position"], "position")
+
+
 def _pieces(spark: SparkSession, sized: DataFrame, settings: Settings, path: str | None) -> DataFrame:
-    """The pieces of (doc_id, text), by tokens."""
+    """The pieces of texts, by tokens, with the other columns of ``sized``."""
     ship(spark)
-    kind, longest = sized.schema["doc_id"].dataType.simpleString(), max(settings.lengths)
+    longest, own = max(settings.lengths), [n for n in sized.columns if n != "text"]
+    sized = sized.select("text", *own)
     names = ["n_tokens", *[c.split()[0] for c in PIECE.split(", ")]]
 
     def run(batches):
@@ -122,19 +146,21 @@ def _pieces(spark: SparkSession, sized: DataFrame, settings: Settings, path: str
 
         counts = tokens.word_counts(path or public_tokenizers.path(settings.tokenizer))
         for batch in batches:
-            for a, b in slices(batch.column(1), 1 << 20):
-                row, *columns = cut(batch.column(1).slice(a, b - a), counts, longest)
+            for a, b in slices(batch.column(0)):
+                row, *columns = cut(batch.column(0).slice(a, b - a), counts, longest)
+                carried = [c.slice(a, b - a).take(pa.array(row)) for c in batch.columns[1:]]
                 arrays = [pa.array(c, pa.int32() if n == "piece" else pa.int64()) for n, c in zip(names, columns, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(row)), *arrays], names=["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([*carried, *arrays], names=[*own, *names])
 
-    return sized.mapInArrow(run, f"doc_id {kind}, n_tokens long, {PIECE}")
+    kinds = dict(sized.dtypes)
+    return sized.mapInArrow(run, ", ".join([*[f"{n} {kinds[n]}" for n in own], "n_tokens long", PIECE]))
 
 
-def _measured(docs: DataFrame, length: Column, doc_id: Column, longest: int) -> DataFrame:
+def _measured(docs: DataFrame, length: Column, own: list[Column], longest: int) -> DataFrame:
     """The pieces of documents of the given lengths; words are not told from tokens."""
-    sized = docs.select(doc_id.alias("doc_id"), F.coalesce(length.cast("long"), F.lit(0)).alias("n_tokens"))
+    sized = docs.select(*own, F.coalesce(length.cast("long"), F.lit(0)).alias("n_tokens"))
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_tokens") - 1, F.lit(0)), F.lit(longest).cast("long"))
-    pieces = sized.select("doc_id", "n_tokens", F.posexplode(starts).alias("piece", "piece_start"))
+    pieces = sized.select("*", F.posexplode(starts).alias("piece", "piece_start"))
     pieces = pieces.withColumn("piece_size", F.least(F.col("n_tokens") - F.col("piece_start"), F.lit(longest)))
     return pieces.withColumns({"token_start": F.col("piece_start"), "piece_tokens": F.col("piece_size")})
 
@@ -147,28 +173,34 @@ def pack_table(
     doc_id: str = "doc_id",
     text: str = "text",
     path: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, n_tokens of the document, piece number, piece_start and piece_size (the words before
     it and in it), token_start and piece_tokens likewise, bin_shard and bin_no that name the bin, bin_length, and
     bin_offset of the piece, both in tokens. ``length`` takes the place of the count of tokens; ``path`` names the
-    tokenizer's file on the executors."""
+    tokenizer's file on the executors. With ``position``, a column of places from 0, the result has that place too, and
+    bin_shard is the number of the stretch in the run."""
     ship(spark)
-    shards = max(1, -(-docs.count() // settings.shard))
-    name = F.col(f"`{doc_id}`")
+    own = [F.col(f"`{doc_id}`").alias("doc_id"), *([F.col(f"`{position}`").cast("long").alias("position")] if position else [])]
     if length is None:
-        pieces = _pieces(spark, docs.select(name.alias("doc_id"), F.col(f"`{text}`").alias("text")), settings, path)
+        pieces = _pieces(spark, docs.select(*own, F.col(f"`{text}`").alias("text")), settings, path)
+    else:
+        pieces = _measured(docs, length, own, max(settings.lengths))
+    if position:
+        shard = F.floor(F.col("position") / settings.stretch).cast("int")
     else:
-        pieces = _measured(docs, length, name, max(settings.lengths))
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-    shard = F.pmod(F.xxhash64("doc_id", "n_tokens", "piece"), F.lit(shards)).cast("int")
+        shards = max(1, -(-docs.count() // settings.shard))
+        shard = F.pmod(F.xxhash64("doc_id", "n_tokens", "piece"), F.lit(shards)).cast("int")
     # A row without tokens goes to no bin; its shard is a negative one, so that the texts are read once.
     pieces = pieces.withColumn("bin_shard", F.when(F.col("n_tokens") > 0, shard).otherwise(-1 - shard))
+    order = ["piece_tokens", "position" if position else "doc_id", "piece"]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["bin_shard"].iloc[0] < 0:
             return frame.assign(piece=None, piece_start=None, token_start=None, bin_shard=None, bin_no=None, bin_length=None, bin_offset=None)
-        frame = frame.sort_values(["piece_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        frame = frame.sort_values(order, ascending=[False, True, True], kind="stable", ignore_index=True)
         at, ends, offset = pack(frame["piece_tokens"].to_numpy(np.int64), settings)
         return frame.assign(bin_no=at.astype("int32"), bin_length=ends, bin_offset=offset)
 
-    return pieces.groupBy("bin_shard").applyInPandas(run, f"doc_id {kind}, n_tokens long, {PIECE}, bin_shard int, bin_no int, bin_length long, bin_offset long")
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema], "bin_no int, bin_length long, bin_offset long"])
+    return pieces.groupBy("bin_shard").applyInPandas(run, schema)

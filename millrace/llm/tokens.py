@@ -126,7 +126,7 @@ class WordCounts:
     A tokenizer that drops white space and never lets a token cross it makes of a text what it makes of its words.
     """
 
-    KNOWN_WORDS, LONGEST_KEPT, BATCH = 200_000, 64, 4_096
+    KNOWN_WORDS, LONGEST_KEPT, BATCH = 1_000_000, 32, 4_096
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer

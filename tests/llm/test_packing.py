@@ -93,3 +93,27 @@ def test_tokens_of_a_text_are_those_of_its_words(text):
     row, total, *_ = packing.cut(pa.array([text]), tokens.WordCounts(tokenizer), 7)
     n = len(tokenizer.encode(text, add_special_tokens=False))
     assert set(total) == {n} and len(row) == max(1, -(-n // 7))
+
+
+def test_sequences_keep_to_a_stretch_of_the_run(spark, documents, folder):
+    rows = [(i % 400, "w " * (1 + 37 * i % 900)) for i in range(600)] + [(900, "w " * 9000), (901, " ")]
+    ordered = documents(rows, 1).select("doc_id", "text", F.expr("n_chars * 0 + doc_id").alias("copied"))
+    ordered.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(5, "at").sortWithinPartitions("at").write.parquet(f"{folder}/run")
+    read = spark.read.parquet(f"{folder}/run")
+    want = {r["at"]: r["doc_id"] for r in read.collect()}
+    got = packing.pack_table(spark, packing.in_order(spark, read), settings=packing.Settings(stretch=50), position="position").toPandas()
+    assert {r.position: r.doc_id for r in got.itertuples()} == want
+    held = got[got["n_tokens"] > 0]
+    assert (held["bin_shard"] == held["position"] // 50).all() and held["bin_shard"].nunique() == 13
+    for _, b in held.groupby(["bin_shard", "bin_no"]):
+        assert b["position"].max() - b["position"].min() < 50 and b["piece_tokens"].sum() <= b["bin_length"].iloc[0]
+        assert not b.duplicated(["doc_id", "piece"]).any()  # copies of a document are 400 apart
+
+
+def test_pipeline_packs_along_the_curriculum(spark, documents, folder):
+    import corpus_pipeline
+
+    documents([(i, "w " * 300) for i in range(3000)], 1).write.parquet(f"{folder}/mix")
+    got = corpus_pipeline.packed(spark, spark.read.parquet(f"{folder}/mix"), folder).toPandas()
+    spans = got.groupby(["bin_shard", "bin_no"])["position"].agg(["min", "max"])
+    assert (spans["max"] - spans["min"]).max() < S.stretch and got["bin_shard"].nunique() == 3
