@@ -146,3 +146,23 @@ def test_holdings_files_at_once_as_one_after_another(spark, folder):
         seen[name] = sorted(counts), sorted(map(str, stored))
     assert seen["each"] == seen["once"]
     assert len(seen["once"][0]) == 5
+
+
+def test_dbf_varchar_is_text(spark, folder):
+    """A V field holds its length in the last byte where its flag is set; nullable fields have a bit of their own."""
+    fields = [("ID", "C", 2), ("A", "V", 6), ("B", "V", 4), ("_NullFlags", "0", 1)]
+    record = lambda i, a, b, flags: b" " + i + a + b + bytes([flags])
+    rows = [
+        record(b"r1", b"abc\0\0\x03", b"wxyz", 0b0001),  # A short, B full
+        record(b"r2", b"abcdef", b"\xe9 \0\x02", 0b0010),  # A full, B short, ends in a blank
+        record(b"r3", b"\0" * 5 + b"\0", b"\0\0\0\0", 0b0111),  # A empty, B short and NULL
+    ]
+    path = dbf_file(f"{folder}/v.dbf", fields, rows)
+    raw = bytearray(open(path, "rb").read())
+    raw[32 + 2 * 32 + 18] |= 2  # B may be NULL
+    open(path, "wb").write(raw)
+    dbf.register(spark)
+    got = [(r["A"], r["B"]) for r in spark.read.format("dbf").load(path).orderBy("row_ord").collect()]
+    assert got == [("abc", "wxyz"), ("abcdef", "\xe9 "), ("", None)]
+    path = dbf_file(f"{folder}/plain.dbf", fields[:2], [b" r1abc   ", b" r2abcdef"], version=0x03)
+    assert [r["A"] for r in spark.read.format("dbf").load(path).orderBy("row_ord").collect()] == ["abc", "abcdef"]
