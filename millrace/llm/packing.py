@@ -21,6 +21,7 @@ repeat. An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left
 from dataclasses import dataclass
 
@@ -140,11 +141,12 @@ def _pieces(spark: SparkSession, sized: DataFrame, settings: Settings, path: str
     longest, own = max(settings.lengths), [n for n in sized.columns if n != "text"]
     sized = sized.select("text", *own)
     names = ["n_tokens", *[c.split()[0] for c in PIECE.split(", ")]]
+    key = uuid.uuid4().hex
 
     def run(batches):
         import public_tokenizers
 
-        counts = tokens.word_counts(path or public_tokenizers.path(settings.tokenizer))
+        counts = tokens.word_counts(key, path or public_tokenizers.path(settings.tokenizer))
         for batch in batches:
             for a, b in slices(batch.column(0)):
                 row, *columns = cut(batch.column(0).slice(a, b - a), counts, longest)

@@ -149,11 +149,14 @@ class WordCounts:
 _word_counts: dict[str, WordCounts] = {}
 
 
-def word_counts(file: str) -> WordCounts:
-    """The counts of this worker, kept from task to task."""
-    if file not in _word_counts:
-        _word_counts[file] = WordCounts(load(file))
-    return _word_counts[file]
+def word_counts(key: str, file: str) -> WordCounts:
+    """The counts of this worker, kept from task to task of one query."""
+    if key not in _word_counts:
+        _word_counts.clear()
+        if file not in _loaded:
+            _loaded[file] = load(file)
+        _word_counts[key] = WordCounts(_loaded[file])
+    return _word_counts[key]
 
 
 def count_tokens(
