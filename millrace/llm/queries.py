@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, langid, licenses, minhash, mixing, packing, quality_rules, simhash, tokens, warc
+from millrace.llm import chat, langid, licenses, line_dedup, minhash, mixing, packing, quality_rules, simhash, tokens, warc
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -199,3 +199,30 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license notice found in a document."""
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), u AS (
+  SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM u
+), c AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), m AS (
+  SELECT r, k.doc_id, line, i, last IS NOT NULL AND k.doc_id <> last AS gone FROM k LEFT JOIN c USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
+
+@query("op11_line_dedup", LINES_SQL)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the lines that three documents or more share."""
+    docs = table(spark, sf_dir, "documents")
+    left = line_dedup.apply(docs, line_dedup.bitmaps(spark, docs))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

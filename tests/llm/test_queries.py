@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
 def test_registered():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries()
     assert set(SQL) <= set(oracle_sql())
 
