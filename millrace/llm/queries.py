@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, fim, langid, licenses, line_dedup, minhash, mixing, packing, quality_rules, simhash, tokens, warc
+from millrace.llm import chat, divergence, fim, langid, licenses, line_dedup, minhash, mixing, packing, quality_rules, simhash, tokens, warc
 from millrace.llm.base import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -258,3 +258,44 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), v AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term
+), g AS (
+  SELECT lang, source, coalesce(total, 0)::HUGEINT AS total, coalesce(v, 0)::HUGEINT AS v, coalesce(lang_total, 0)::HUGEINT AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)
+    LEFT JOIN v USING (lang)
+), m AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v))::HUGEINT AS p,
+    (1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + v))::HUGEINT AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.v = 0
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM m WHERE n > 0 AND p > q
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM o WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and the terms that set it apart."""
+    found = divergence.audit(spark, table(spark, sf_dir, "documents"))
+    return found.select("lang", "source", "part", "item", "value", "rank")
