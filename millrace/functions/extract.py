@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: what an archive link looks like.
-ARCHIVE_LINK_RE = r"(?i)https://mailback[0-9]*\.camsonline\.com/[^\s\"<>]+\.zip"
+ARCHIVE_LINK_RE = r"(?i)https://mailback\d*\.camsonline\.com/[^\s\"<>]+\.zip"
 
 ANCHOR_RE = r"(?is)<a\b([^>]*)>(?:\s*<[a-z][^>]*>)?[^<]*click here[^<]*<"
 HREF_RE = r"(?is)\bhref\s*=\s*[\"']([^\"']*)[\"']"

@@ -15,11 +15,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import keep_first, keep_last
-from millrace.operators.match import classify_changes, near_keys, new_rows
+from millrace.operators.match import near_keys, new_rows
+from millrace.operators.position import land, place
 from millrace.operators.skew import HOT_ROWS, incomplete, null_slot, spread_join
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -202,6 +203,71 @@ def contact_only(
     return MergeResult(updated.unionByName(_apply(opened, target.columns, contact)), build_actions)
 
 
+def _file_ends(source: DataFrame, keys: list[str], files: list[str], tracked: list[str], order: list[str]) -> DataFrame:
+    """What a file can do to a key, in one row per key and file: the tracked values and place of its last row (``_value``,
+    ``_at``), and of its last row that differs from that one (``_other``, ``_other_at``), if there is one.
+
+    A file leaves the key at the first of the two that is not what it found, so these two stand for all its rows. Rows
+    of equal values are combined before the shuffle, and two rows of each key and task pass the limit below the next.
+    """
+    complete = source.where(~incomplete(keys)).select(*keys, *files, *tracked, place(order).alias("_at"))
+    ends = complete.groupBy(*keys, *files, *tracked).agg(F.max("_at").alias("_at"))
+    latest = Window.partitionBy(*keys, *files).orderBy(F.col("_at").desc())
+    two = ends.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= 2)
+    two = two.select(*keys, *files, F.struct(*tracked).alias("_value"), "_at", "_rank")
+    before = lambda c: F.lead(c).over(latest)
+    pairs = two.withColumns({"_other": before("_value"), "_other_at": before("_at")}).where(F.col("_rank") == 1).drop("_rank")
+    if not files:
+        return pairs.withColumn("_most", F.col("_value"))
+    # What a later file finds after one that brought the key in: of several copies, the largest values.
+    most = ends.groupBy(*keys, *files).agg(F.max(F.struct(*tracked)).alias("_most"))
+    return pairs.join(most, [*keys, *files])
+
+
+def change_fold(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    tracked: list[str],
+    order: list[str],
+    files: list[str],
+    small_source: bool = False,
+) -> DataFrame:
+    """Files applied one after another, without applying them: per key and file the tracked values it finds (``_before``;
+    NULL when it brings the key in), and ``_wins``, the place of the row that has the last word on the key.
+
+    After a file the key stands at one of the file's two values, so its state is one bit. A file sets the bit to a
+    constant, keeps it, or turns it round; the last constant and the number of turns since then give it. That is one
+    window over one row per key and file.
+    """
+    ends = _file_ends(source, keys, files, tracked, order)
+    near = near_keys(target.select(*keys, *tracked), source, keys, small_source).where(~incomplete(keys))
+    stored = near.groupBy(*keys).agg(F.max(F.struct(*tracked)).alias("_value"))
+    both = ends.withColumn("_stored", F.lit(False)).unionByName(stored.withColumn("_stored", F.lit(True)), allowMissingColumns=True)
+    one = Window.partitionBy(*keys).orderBy(F.col("_stored").desc(), *files)
+    prior = lambda c: F.lag(c).over(one)
+    rows = both.withColumn("_opens", ~F.col("_stored") & (F.row_number().over(one) == 1))
+    rows = rows.withColumn("_left", F.when(F.col("_opens"), F.col("_most")).otherwise(F.col("_value")))
+    rows = rows.withColumn("_mixed", F.col("_other_at").isNotNull() & ~F.col("_opens") & ~F.col("_stored"))
+    moved = ~prior("_left").eqNullSafe(F.col("_left"))
+    moved_other = F.when(prior("_mixed"), ~prior("_other").eqNullSafe(F.col("_left"))).otherwise(moved)
+    rows = rows.withColumns({"_x": F.coalesce(moved, F.lit(True)), "_y": F.coalesce(moved_other, F.lit(True))})
+    constant = F.when(~F.col("_mixed"), 1).when(F.col("_x") == F.col("_y"), F.col("_x").cast("int"))
+    rows = rows.withColumns({"_constant": constant, "_turn": (F.col("_mixed") & F.col("_y") & ~F.col("_x")).cast("int")})
+    upto = one.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_turns", F.sum("_turn").over(upto))
+    known = F.struct(F.col("_constant").alias("bit"), F.col("_turns").alias("turns"))
+    rows = rows.withColumn("_known", F.last(F.when(F.col("_constant").isNotNull(), known), ignorenulls=True).over(upto))
+    bit = (F.col("_known.bit") + F.col("_turns") - F.col("_known.turns")) % 2 == 1
+    rows = rows.withColumn("_after", F.when(bit, F.col("_left")).otherwise(F.col("_other")))
+    rows = rows.withColumn("_before", prior("_after"))
+    wins = F.when(F.col("_opens") | F.col("_stored"), None).when(~F.col("_before").eqNullSafe(F.col("_value")), F.col("_at")).otherwise(F.col("_other_at"))
+    rows = rows.withColumn("_win", wins)
+    whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_wins", F.max("_win").over(whole)).where(~F.col("_stored"))
+    return rows.select(*keys, *files, "_opens", "_before", "_wins")
+
+
 def if_changed(
     target: DataFrame,
     source: DataFrame,
@@ -211,21 +277,25 @@ def if_changed(
     order: list[str],
     hot_rows: int = HOT_ROWS,
     small_source: bool = False,
+    files: list[str] | None = None,
 ) -> MergeResult:
-    """Insert new rows, all copies; update a match only when a tracked column differs."""
-    judged = classify_changes(source, target, keys, tracked, order, hot_rows, small_source)
-    last = keep_last(judged.where(F.col("change") == "changed"), keys, order)
-    updated = update_matches(target, last, keys, update, hot_rows, small_source)
-    inserted = judged.where(F.col("change") == "new").select(target.columns)
-    action = (
-        F.when(F.col("change") == "new", INSERT)
-        .when(F.col("change") == "changed", UPDATE)
-        .otherwise(UNCHANGED)
-    )
-    return MergeResult(
-        updated.unionByName(inserted),
-        lambda: judged.select(*source.columns, action.alias("action")),
-    )
+    """Insert new rows, all copies; update a match only when a tracked column differs.
+
+    ``files`` names the columns that tell files apart, in the order of which they count as merged one after another;
+    one pass does them all. Without it the source is one file. The judged rows land as a table; snapshot and actions
+    are taken from it.
+    """
+    files = files or []
+    fold = change_fold(target, source, keys, tracked, order, files, small_source)
+    joined = spread_join(source, fold, [*keys, *files], order, "left", hot_rows)
+    new = F.coalesce(F.col("_opens"), F.lit(True))
+    action = F.when(new, INSERT).when(F.struct(*tracked).eqNullSafe(F.col("_before")), UNCHANGED).otherwise(UPDATE)
+    last_word = F.coalesce(place(order) == F.col("_wins"), F.lit(False))
+    judged = land(joined.select(*source.columns, action.alias("action"), last_word.alias("_last_word")), "judged")
+    inserted = judged.where(F.col("action") == INSERT).select(target.columns)
+    winners = judged.where("_last_word")
+    snapshot = update_matches(target.unionByName(inserted), winners, keys, update, hot_rows, small_source)
+    return MergeResult(snapshot, lambda: judged.drop("_last_word"))
 
 
 def last_wins(
@@ -240,25 +310,25 @@ def last_wins(
 ) -> MergeResult:
     """Rows applied one after another: a key ends with the values of its last row.
 
-    A stored row keeps its lineage, an inserted key takes that of its first row. Both ends of a key
-    come from one aggregation with map-side combine.
+    A stored row keeps its lineage, an inserted key takes that of its first row. The places of both ends of a key are
+    aggregated, no row travels with them; the rows are then fetched by their places, which are unique. With an order
+    of one column that is a hash aggregation.
     """
     cols = target.columns
     payload = [c for c in values if c not in keys]
-    at = F.struct(*order)
-    ends = (
-        source.where(~incomplete(keys))
-        .groupBy(*keys)
-        .agg(
-            F.max_by(F.struct(*payload), at).alias("_last"),
-            F.min_by(F.struct(*lineage), at).alias("_first"),
-        )
-        .select(*keys, "_last.*", "_first.*")
-    )
-    updated = update_matches(target, ends, keys, payload, hot_rows, small_source)
+    complete = source.where(~incomplete(keys))
+    at = place(order)
+    ends = complete.groupBy(*keys).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    roles = F.array_distinct(F.array("_first", "_last"))
+    wanted = ends.select("_first", "_last", F.explode(roles).alias("_place"))
+    # One shuffle of the rows serves both ends; a row of each key is left, or two.
+    picked = complete.withColumn("_place", at).join(wanted, "_place")
+    last = picked.where(F.col("_place") == F.col("_last")).select(*keys, *payload, F.col("_first").alias("_of"))
+    first = picked.where(F.col("_place") == F.col("_first")).select(F.col("_first").alias("_of"), *lineage)
+    updated = update_matches(target, last, keys, payload, hot_rows, small_source)
     known = target.where(~incomplete(keys)).select(keys)
-    stored = near_keys(known, ends, keys, small_source).distinct()
-    added = ends.join(stored, keys, "left_anti")
+    stored = near_keys(known, last, keys, small_source).distinct()
+    added = last.join(stored, keys, "left_anti").join(first, "_of")
     loose = source.where(incomplete(keys)).select(cols)
     return MergeResult(
         updated.unionByName(added.select(cols)).unionByName(loose),

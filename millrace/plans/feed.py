@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -10,13 +11,14 @@ from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.functions.names import match_column, plain_name, snake_case
-from millrace.operators import dedup, ledger, merge, report
+from millrace.operators import dedup, ledger, merge, report, validate
 from millrace.operators.filters import FEED_EXTENSIONS, has_extension
+from millrace.operators.position import POSITION, with_position
 from millrace.operators.schema import LINEAGE, conform, conform_dynamic, dynamic_kinds, quoted, rename_all
 from millrace.operators.skew import incomplete
 from millrace.plans.spec import FeedSpec
@@ -31,15 +33,20 @@ SMALL_BATCH_BYTES = 32 << 20
 RAW = "_raw"
 # The record of a row with more cells than its header; and the cells that could not be read.
 SURPLUS, BAD = "_surplus", "_bad"
+# The file of a row whose input is a folder of files.
+SHEET = "_sheet"
 
 
 @dataclass(frozen=True)
 class FeedPlan:
-    """The merge, and the positions with raw text of the rows left out before it."""
+    """The merge, and the positions with raw text of the rows left out before it; ``refused`` has the reason too,
+    ``members`` every row of a key that the parts of one input share."""
 
     result: merge.MergeResult
     duplicates: DataFrame
     dropped: DataFrame
+    refused: DataFrame
+    members: DataFrame
 
 
 def stage(spec: FeedSpec, raw: DataFrame, run_ts: str) -> DataFrame:
@@ -84,20 +91,32 @@ def plan_feed(
     small_source: bool = False,
 ) -> FeedPlan:
     """The whole feed as lazy frames over staged rows."""
-    keys, update, order = spec.merge_keys, spec.update_columns, ORDER
+    keys, update = spec.merge_keys, spec.update_columns
+    order = [POSITION] if POSITION in staged.columns else ORDER
+    shown = list(dict.fromkeys([*ORDER, *order]))
     batch = staged.drop(RAW, SURPLUS, BAD)
-    slim = staged.select(*spec.keys, *order, RAW)
-    nothing = slim.where(F.lit(False)).select(*order, RAW)
-    dropped = duplicates = nothing
+    part = [SHEET] if SHEET in staged.columns else []
+    slim = staged.select(*spec.keys, *shown, *part, RAW)
+    nothing = slim.where(F.lit(False)).select(*ORDER, RAW)
+    dropped = duplicates = members = nothing
     if spec.complete_key:
-        dropped = slim.where(incomplete(list(spec.keys))).select(*order, RAW)
+        dropped = slim.where(incomplete(list(spec.keys))).select(*ORDER, RAW)
         batch, slim = batch.dropna(subset=list(spec.keys)), slim.dropna(subset=list(spec.keys))
     if spec.in_file is not None:
         keep = dedup.keep_first if spec.in_file == "first" else dedup.keep_last
         per_file = [*spec.keys, "file_path"]
         kept = keep(slim.drop(RAW), per_file, order).select(order)
-        duplicates = slim.select(*order, RAW).join(kept, order, "left_anti")
+        duplicates = slim.select(*shown, RAW).join(kept, order, "left_anti").select(*ORDER, RAW)
         batch = keep(batch, per_file, order)
+        if part:
+            # A key once per part first; then whatever more than one part holds.
+            parts = keep(slim.drop(RAW), [*per_file, *part], order)
+            shared = dedup.group_members(parts, per_file, order).select(order)
+            members = slim.select(*shown, RAW).join(shared, order, "left_semi").select(*ORDER, RAW)
+    refused = nothing.withColumn("reason", F.lit(None).cast("string"))
+    if spec.limits:
+        batch, bad = validate.split_valid(batch, rules=validate.limits(spec.limits))
+        refused = slim.select(*shown, RAW).join(bad.select(*order, "reason"), order).select(*ORDER, RAW, "reason")
 
     source = batch
     if keys and many_files and spec.policy in ("upsert", "declared_key"):
@@ -120,8 +139,9 @@ def plan_feed(
             )
         case "if_changed":
             result = merge.if_changed(
-                target, source, keys, list(spec.tracked), update, order, small_source=small_source
-            )
+                target, source, keys, list(spec.tracked), update, order, small_source=small_source,
+                files=["file_path"] if many_files else None,
+            )
         case "last_wins":
             result = merge.last_wins(
                 target, source, keys, list(spec.kinds), list(LINEAGE), order, small_source=small_source
@@ -131,7 +151,7 @@ def plan_feed(
             result.snapshot,
             lambda: merge.ordered_actions(batch, target, keys, order, small_source),
         )
-    return FeedPlan(result, duplicates, dropped)
+    return FeedPlan(result, duplicates, dropped, refused, members)
 
 
 @dataclass(frozen=True)
@@ -163,14 +183,22 @@ class FeedStore:
                 return empty
             raise
 
+    def ledger(self, spec: FeedSpec) -> DataFrame:
+        """One row per input the feed has claimed or completed."""
+        return ledger.current(self.read_or_empty(f"ledger/{spec.table}", ledger.EVENT_SCHEMA))
+
+    def record(self, spec: FeedSpec, entries: DataFrame) -> None:
+        """Adds entries to the ledger; the last one of a hash counts. One small file and one commit, nothing is rewritten."""
+        told = entries.withColumn("recorded_at", F.lit(time.time_ns()))
+        told.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger/{spec.table}")
+
     def completed(self, spec: FeedSpec) -> DataFrame:
-        """Ledger rows of committed runs. An entry is written before its run commits, so it counts
-        only once the run is in the table's log."""
-        entries = self.read_or_empty("ledger", f"{ledger.LEDGER_SCHEMA}, run_id string")
-        mine = entries.where(F.col("table_name") == spec.table)
-        return mine.join(self.table(spec).runs(), "run_id", "left_semi").withColumn(
-            "status", F.lit(ledger.COMPLETED)
-        )
+        """Ledger rows of input that is merged: completed ones, and claims of runs that are in the table's log but
+        died before they could complete them."""
+        entries = self.ledger(spec)
+        applied = self.table(spec).runs().withColumn("_applied", F.lit(True))
+        merged = (F.col("status") == ledger.COMPLETED) | ((F.col("status") == ledger.CLAIMED) & F.col("_applied"))
+        return entries.join(applied, "run_id", "left").where(merged).drop("_applied").withColumn("status", F.lit(ledger.COMPLETED))
 
 
 def hash_files(files: DataFrame) -> DataFrame:
@@ -218,29 +246,46 @@ def run_feed(
     table = store.table(spec)
     if table.applied(run_id):
         return FeedResult(spec.code, "skipped", "run_already_applied", run_id)
-    if isinstance(path, str):
-        files = list_files(spark, path).where(has_extension(F.col("path"), FEED_EXTENSIONS))
-    else:
-        files = spark.createDataFrame([(p,) for p in path], "path string")
-    hashed = hash_files(files).withColumn("table_name", F.lit(spec.table))
-    fresh = ledger.unprocessed(hashed, store.completed(spec), ["path"]).select("path", "file_hash")
+    # Listed paths have the form that rows name their file in.
+    files = list_files(spark, path).where(has_extension(F.col("path"), FEED_EXTENSIONS))
+    inputs = input_hashes(hash_files(files), spec).withColumn("table_name", F.lit(spec.table))
+    fresh = ledger.unprocessed(inputs, store.completed(spec), ["source_file"])
     if spec.policy == "contact_only":
         # A file that is stored under its path is skipped as a whole, whatever it holds now.
-        known = store.completed(spec).select(F.col("source_file").alias("path")).distinct()
-        fresh = fresh.join(known, "path", "left_anti")
+        fresh = fresh.join(store.completed(spec).select("source_file").distinct(), "source_file", "left_anti")
     # File names only, as many as Spark's own file index holds for the same folder.
-    todo = {r["path"]: r["file_hash"] for r in fresh.toLocalIterator()}
-    if not todo:
+    todo = fresh.select("source_file", "file_hash", F.explode("paths").alias("path")).toLocalIterator()
+    paths: dict[str, str] = {}
+    hashes: dict[str, str] = {}
+    for r in todo:
+        paths[r["path"]], hashes[r["source_file"]] = r["source_file"], r["file_hash"]
+    if not paths:
         return FeedResult(spec.code, "skipped", "file_already_processed", run_id)
-    sequential = spec.policy == "if_changed"
-    batches = [[p] for p in sorted(todo)] if sequential else [sorted(todo)]
-    summaries = []
-    for i, batch in enumerate(batches):
-        part_id = run_id if i == len(batches) - 1 else f"{run_id}-{i}"
-        summaries.append(_run_batch(store, spec, {p: todo[p] for p in batch}, run_ts, part_id))
-    return FeedResult(
-        spec.code, "success", "", run_id, reduce(lambda a, b: a.unionByName(b), summaries)
-    )
+    return FeedResult(spec.code, "success", "", run_id, _run_batch(store, spec, sorted(paths), hashes, run_ts, run_id))
+
+
+WORKBOOK_RE = r"(?i)^(.*?\.xlsx?)/"
+SHEET_RE = r"(?i)^(.*?\.xlsx?/[^/]+)"
+
+
+def workbook_of(path: Column) -> Column:
+    """The input a file belongs to: the folder that is named like a workbook, or the file itself."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, WORKBOOK_RE, 1), F.lit("")), path)
+
+
+def sheet_of(path: Column) -> Column:
+    """The sheet a file belongs to: a file, or a folder of files, in the folder of a workbook."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, SHEET_RE, 1), F.lit("")), path)
+
+
+def input_hashes(hashed: DataFrame, spec: FeedSpec) -> DataFrame:
+    """(source_file, file_hash, paths) of whole inputs. A workbook is known by the hashes of its sheets in their order."""
+    if not spec.workbook:
+        return hashed.select(F.col("path").alias("source_file"), "file_hash", F.array("path").alias("paths"))
+    sheets = F.sort_array(F.collect_list(F.struct("path", "file_hash")))
+    books = hashed.groupBy(workbook_of(F.col("path")).alias("source_file")).agg(sheets.alias("sheets"))
+    combined = F.when(F.size("sheets") == 1, F.col("sheets")[0]["file_hash"]).otherwise(F.md5(F.array_join("sheets.file_hash", ",")))
+    return books.select("source_file", combined.alias("file_hash"), F.col("sheets.path").alias("paths"))
 
 
 def with_all_columns(spec: FeedSpec, table: SnapshotTable, raw: DataFrame) -> FeedSpec:
@@ -259,15 +304,31 @@ def with_all_columns(spec: FeedSpec, table: SnapshotTable, raw: DataFrame) -> Fe
 
 
 def _run_batch(
-    store: FeedStore, spec: FeedSpec, files: dict[str, str], run_ts: str, run_id: str
+    store: FeedStore, spec: FeedSpec, files: list[str], hashes: dict[str, str], run_ts: str, run_id: str
 ) -> DataFrame:
+    """``files`` are read, ``hashes`` holds the hash of each input they make up."""
     spark = store.spark
-    raw = read_raw(spark, list(files))
+    raw = read_raw(spark, files)
     spec = with_all_columns(spec, store.table(spec), raw)
     table = store.table(spec)
+    now = F.lit(run_ts).cast("timestamp")
+    claims = spark.createDataFrame(list(hashes.items()), "source_file string, file_hash string").select(
+        "file_hash",
+        F.lit(spec.table).alias("table_name"),
+        "source_file",
+        F.lit(0).cast("bigint").alias("total_records"),
+        F.lit(ledger.CLAIMED).alias("status"),
+        now.alias("processed_at"),
+        now.alias("created_at"),
+        F.lit(run_id).alias("run_id"),
+    )
+    store.record(spec, claims)
     landing = f"{store.root}/landing/{spec.table}/{run_id}"
     stage(spec, raw, run_ts).write.mode("overwrite").parquet(landing)
-    landed = spark.read.parquet(landing)
+    landed = with_position(spark.read.parquet(landing))
+    if spec.workbook:
+        # The place of a row comes from its sheet; from here on its file is the workbook.
+        landed = landed.withColumn(SHEET, sheet_of(F.col("file_path"))).withColumn("file_path", workbook_of(F.col("file_path")))
     staged = landed.where(F.col(SURPLUS).isNull())
     # Rows that are stored although cells of them could not be read.
     landed.where((F.size(BAD) > 0) & F.col(SURPLUS).isNull()).select(
@@ -278,9 +339,9 @@ def _run_batch(
     touched = table.touched(staged) if keyed else set()
     # An append does not look at what is stored.
     target = table.read(touched)
-    size = list_files(spark, list(files)).agg(F.sum("length")).first()[0]
+    size = list_files(spark, files).agg(F.sum("length")).first()[0]
     plan = plan_feed(
-        spec, staged, target, many_files=len(files) > 1, small_source=size <= SMALL_BATCH_BYTES
+        spec, staged, target, many_files=len(hashes) > 1, small_source=size <= SMALL_BATCH_BYTES
     )
     run_date = F.lit(run_ts).cast("date").alias("run_date")
     marked = lambda df, action, reason: df.withColumns({"action": F.lit(action), "reason": F.lit(reason)})
@@ -289,11 +350,16 @@ def _run_batch(
         marked(plan.duplicates, "duplicate", "key repeated in file")
         .unionByName(marked(plan.dropped, "reject", "incomplete key"))
         .unionByName(marked(surplus, "reject", "more cells than the header"))
+        .unionByName(plan.refused.withColumn("action", F.lit("reject")))
     )
     base = f"{store.root}/rejects/run_id={run_id}"
     lost.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, "action", "reason", F.col(RAW).alias("raw")).write.mode(
         "overwrite"
     ).partitionBy("run_date", "feed").parquet(base)
+    if spec.workbook:
+        plan.members.select(run_date, F.lit(spec.code).alias("feed"), *ORDER, F.col(RAW).alias("raw")).write.mode(
+            "overwrite"
+        ).parquet(f"{store.root}/duplicates/run_id={run_id}")
     acted = f"{store.root}/actions/{spec.table}/run_id={run_id}"
     plan.result.actions.select(run_date, *spec.columns, "action").write.mode("overwrite").partitionBy(
         "run_date"
@@ -322,24 +388,13 @@ def _run_batch(
     summary_path = f"{store.root}/summary/run_id={run_id}"
     summary.write.mode("overwrite").parquet(summary_path)
 
-    entries = spark.createDataFrame(list(files.items()), "source_file string, file_hash string")
-    per_file = counted.groupBy("file_path").agg(F.count(F.lit(1)).alias("total_records"))
-    now = F.lit(run_ts).cast("timestamp")
-    entries.join(per_file, entries["source_file"] == per_file["file_path"], "left").select(
-        "file_hash",
-        F.lit(spec.table).alias("table_name"),
-        "source_file",
-        F.coalesce("total_records", F.lit(0)).cast("bigint").alias("total_records"),
-        F.lit("STARTED").alias("status"),
-        now.alias("processed_at"),
-        now.alias("created_at"),
-        F.lit(run_id).alias("run_id"),
-    ).coalesce(1).write.mode("append").parquet(f"{store.root}/ledger")
-
     if keyed:
         table.replace(plan.result.snapshot, touched, run_id)
     else:
         table.append(plan.result.snapshot, run_id)
+    per_file = counted.groupBy(F.col("file_path").alias("source_file")).agg(F.count(F.lit(1)).alias("n"))
+    done = claims.join(per_file, "source_file", "left").withColumns(
+        {"total_records": F.coalesce("n", F.lit(0)).cast("bigint"), "status": F.lit(ledger.COMPLETED)}
+    )
+    store.record(spec, done.select(claims.columns))
     return spark.read.schema(report.SUMMARY_SCHEMA).parquet(summary_path)
-
-

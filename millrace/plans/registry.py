@@ -25,7 +25,7 @@ FEEDS = {
         FeedSpec(
             "wbr2c",
             ROUTES["wbr2c"],
-            S.kinds(S.WBR2C),
+            S.WBR2C,
             keys=("folio_no", "trxnno", "traddate"),
             in_file="first",
             update=("amount", "units", "purprice", "postdate", "remarks", "updated_at"),
@@ -34,7 +34,7 @@ FEEDS = {
         FeedSpec(
             "wbr9",
             ROUTES["wbr9"],
-            S.kinds(S.WBR9),
+            S.WBR9,
             keys=("foliochk", "product", "sch_name", "rep_date"),
             in_file="first",
             update=(
@@ -48,7 +48,7 @@ FEEDS = {
         FeedSpec(
             "wbr9c",
             ROUTES["wbr9c"],
-            S.kinds(S.WBR9C),
+            S.WBR9C,
             keys=("foliochk", "amc_code", "product_co"),
             in_file="first",
             update=(
@@ -59,7 +59,7 @@ FEEDS = {
         FeedSpec(
             "wbr49",
             ROUTES["wbr49"],
-            S.kinds(S.WBR49),
+            S.WBR49,
             keys=("folio_no", "auto_trno", "from_date"),
             in_file="first",
             part_date="from_date",
@@ -67,7 +67,7 @@ FEEDS = {
         FeedSpec(
             "wbr5",
             ROUTES["wbr5"],
-            S.kinds(S.WBR5),
+            S.WBR5,
             keys=("folio_no", "ref_no", "to_date"),
             in_file="first",
             policy="declared_key",
@@ -76,7 +76,7 @@ FEEDS = {
         FeedSpec(
             "wbcum",
             ROUTES["wbcum"],
-            S.kinds(S.WBCUM),
+            S.WBCUM,
             keys=("acno", "scheme", "todate"),
             in_file="first",
             update=("balunits", "valinv", "lnav", "trdate", "updated_at"),
@@ -85,15 +85,16 @@ FEEDS = {
         FeedSpec(
             "scheme",
             "mutual_funds",
-            S.kinds(S.SCHEME),
+            S.SCHEME,
             keys=("scheme_code", "plan_name", "plan_type"),
             in_file="last",
             complete_key=True,
+            workbook=True,
         ),
         FeedSpec(
             "wbr22",
             ROUTES["wbr22"],
-            S.kinds(S.WBR22),
+            S.WBR22,
             keys=("brok_dlr_c", "folio", "scheme_nam", "asset_date"),
             policy="contact_only",
             update=("inv_name", "mobile", "updated_at"),
@@ -102,7 +103,7 @@ FEEDS = {
         FeedSpec(
             "wbtrn",
             ROUTES["wbtrn"],
-            S.kinds(S.WBTRN),
+            S.WBTRN,
             keys=("unqno",),
             policy="if_changed",
             tracked=("td_trno", "td_trdt", "td_amt"),
@@ -110,7 +111,7 @@ FEEDS = {
         FeedSpec(
             "wbr2",
             ROUTES["wbr2"],
-            S.kinds(S.WBR2),
+            S.WBR2,
             keys=("amc_code", "folio_no", "trxnno", "traddate"),
             policy="last_wins",
             dynamic=True,
@@ -126,7 +127,7 @@ FEEDS = {
             part_date="fromdate",
             **brokerage_words(),
         ),
-        FeedSpec("wbr77", ROUTES["wbr77"], S.kinds(S.WBR77), policy="append"),
-        FeedSpec("wbmst", ROUTES["wbmst"], S.kinds(S.WBMST), policy="append"),
+        FeedSpec("wbr77", ROUTES["wbr77"], S.WBR77, policy="append"),
+        FeedSpec("wbmst", ROUTES["wbmst"], S.WBMST, policy="append"),
     )
 }

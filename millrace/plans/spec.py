@@ -28,7 +28,9 @@ class FeedSpec:
     """One feed: its columns, its key, its duplicate rule and its merge policy.
 
     ``kinds`` maps each data column to a cleaning kind. ``update`` lists the columns a match changes;
-    None means all but the key and ``created_at``. ``overrides`` replaces the kind of single columns.
+    None means all but the key and ``created_at``. ``overrides`` replaces the kind of single columns. ``limits`` are
+    columns of the target as DDL, with what it refuses: ``NOT NULL``, ``varchar(n)``, ``decimal(p, s)``. The input of a
+    ``workbook`` feed may be a folder named like a workbook, with a file per sheet in the order of their names.
     """
 
     code: str
@@ -47,6 +49,8 @@ class FeedSpec:
     date_words: tuple[str, ...] = TRANSACTION_DATE_WORDS
     number_words: tuple[str, ...] = TRANSACTION_NUMBER_WORDS
     overrides: dict[str, str] = field(default_factory=dict)
+    limits: str = ""
+    workbook: bool = False
 
     def __post_init__(self):
         if self.policy not in POLICIES:

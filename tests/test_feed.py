@@ -209,7 +209,7 @@ def test_registry_is_consistent():
         "wbr49": 43, "wbr5": 26, "scheme": 29
     }
     assert all(k in s.kinds for s in FEEDS.values() for k in s.keys)
-    listed = schemas.kinds(schemas.WBR2)
+    listed = schemas.WBR2
     assert listed == {n: kind_by_keyword(n) for n in listed}
 
 
@@ -247,3 +247,82 @@ def test_reminders_from_stored_tables(spark, folder):
     assert rows[0]["message"].startswith(
         "Dear Asha, your SIP of ₹5,000.0 for Growth will be processed on 15/6/2024."
     )
+
+
+def ledger_rows(spark, root, code):
+    return [(r["status"], r["total_records"], str(r["created_at"])[:10]) for r in FeedStore(spark, root).ledger(FEEDS[code]).collect()]
+
+
+def test_a_claim_of_a_dead_run_is_taken_over(spark, folder, monkeypatch):
+    root, path = f"{folder}/store", put(f"{folder}/in/t.csv", "FOLIO_NO,TRADE_DATE\n1,x\n2,y\n")
+    spec = FEEDS["wbr77"]
+
+    def die(self, rows, run_id):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "append", die)
+        with pytest.raises(RuntimeError):
+            run_feed(spark, spec, [path], root, T1)
+    assert ledger_rows(spark, root, "wbr77") == [("CLAIMED", 0, "2024-06-01")]
+    assert run_feed(spark, spec, [path], root, T2).status == "success"
+    assert ledger_rows(spark, root, "wbr77") == [("COMPLETED", 2, "2024-06-01")]
+
+
+def test_a_run_that_dies_after_the_commit_is_known(spark, folder, monkeypatch):
+    root, path = f"{folder}/store", put(f"{folder}/in/t.csv", "FOLIO_NO,TRADE_DATE\n1,x\n2,y\n")
+    spec, record = FEEDS["wbr77"], FeedStore.record
+
+    def claims_only(self, spec, entries):
+        if entries.first()["status"] != "CLAIMED":
+            raise RuntimeError("lost")
+        record(self, spec, entries)
+
+    with monkeypatch.context() as m:
+        m.setattr(FeedStore, "record", claims_only)
+        with pytest.raises(RuntimeError):
+            run_feed(spark, spec, [path], root, T1)
+    assert run_feed(spark, spec, [path], root, T2).status == "skipped"
+    assert stored(spark, root, "wbr77", "folio_no") == [("1",), ("2",)]
+
+
+def test_added_entries_are_upserts(spark):
+    from millrace.operators import ledger
+
+    rows = [("h1", "t", "a", 0, "CLAIMED", 1), ("h1", "t", "b", 2, "COMPLETED", 2), ("h2", "t", "c", 0, "CLAIMED", 2), ("h1", "t", "d", 3, "CLAIMED", 3)]
+    stamp = "timestamp_seconds({0})"
+    events = spark.createDataFrame(rows, "file_hash string, table_name string, source_file string, total_records bigint, status string, recorded_at bigint")
+    events = events.selectExpr("*", stamp.format("recorded_at") + " AS processed_at", stamp.format("recorded_at") + " AS created_at")
+    table = events.where("false").drop("recorded_at")
+    for k in (1, 2, 3):
+        table = ledger.record(table, events.where(f"recorded_at = {k}").drop("recorded_at"), ["source_file"]).snapshot
+    assert sorted(map(str, ledger.current(events).select(table.columns).collect())) == sorted(map(str, table.collect()))
+
+
+def test_rows_the_target_refuses(spark, folder):
+    from dataclasses import replace
+
+    root = f"{folder}/store"
+    path = put(f"{folder}/in/a.csv", "FOLIO_NO,TrxnNo,TRADDATE,Amount,Remarks\n1,T1,2024-01-05,1,ok\n,T2,2024-01-05,2,x\n3,T3,2024-01-05,99999.996,x\n4,T4,2024-01-05,,toolong\n5,T5,2024-01-05,99999.994,\n")
+    spec = replace(FEEDS["wbr2c"], limits="folio_no string NOT NULL, amount decimal(7,2), remarks varchar(3)")
+    summary = run_feed(spark, spec, [path], root, T1).summary.first()
+    assert (summary["inserted"], summary["failed"], summary["total_rows"]) == (2, 3, 5)
+    assert stored(spark, root, "wbr2c", "folio_no") == [("1",), ("5",)]
+    reasons = {r["reason"] for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert reasons == {"missing folio_no", "out of range amount", "too long remarks"}
+
+
+def test_a_changed_sheet_makes_a_new_workbook(spark, folder):
+    root, book = f"{folder}/store", f"{folder}/in/Book.XLSX"
+    one = put(f"{book}/1.csv", "Scheme Code,Plan-Name,Plan Type,Fund Code\nS1,P,G,F1\nS2,P,G,F1\nS1,P,G,F2\n")
+    put(f"{book}/2.csv", "Scheme Code,Plan-Name,Plan Type,Plan Type,Sl No\nS2,P,G,H,1\nS3,P,G,H,1\n")
+    put(f"{folder}/in/lone.csv", "Scheme Code,Plan-Name,Plan Type,Fund Code\nS9,P,G,F9\n")
+    summary = {r["source_file"]: r for r in run_feed(spark, FEEDS["scheme"], f"{folder}/in", root, T1).summary.collect()}
+    assert (summary["Book.XLSX"]["inserted"], summary["Book.XLSX"]["duplicates"], summary["lone.csv"]["inserted"]) == (3, 2, 1)
+    assert stored(spark, root, "scheme", "scheme_code", "fund_code") == [("S1", "F2"), ("S2", None), ("S3", None), ("S9", "F9")]
+    report = spark.read.parquet(f"{root}/duplicates")
+    assert report.count() == 2  # S2 is on both sheets; S1 is twice on one
+    assert run_feed(spark, FEEDS["scheme"], f"{folder}/in", root, T2).status == "skipped"
+    put(one, "Scheme Code,Plan-Name,Plan Type,Fund Code\nS1,P,G,F7\n")
+    assert run_feed(spark, FEEDS["scheme"], f"{folder}/in", root, T2).status == "success"
+    assert stored(spark, root, "scheme", "scheme_code", "fund_code") == [("S1", "F7"), ("S2", None), ("S3", None), ("S9", "F9")]

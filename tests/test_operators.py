@@ -181,3 +181,45 @@ def test_a_broadcast_batch_gives_the_same_merge(spark, policy):
     wide, small = (run(target, source, *arguments, small_source=b) for b in (False, True))
     assert as_set(wide.snapshot, *target.columns) == as_set(small.snapshot, *target.columns)
     assert as_set(wide.actions, "pos", "action") == as_set(small.actions, "pos", "action")
+
+
+def one_by_one(stored, files):
+    """The change-tracking rule, file after file, row after row."""
+    state, actions = [list(r) for r in stored], []
+    for name, rows in files:
+        found = {}
+        for k, v, _ in state:
+            if k is not None and (k not in found or (v is not None, v or 0) > (found[k] is not None, found[k] or 0)):
+                found[k] = v
+        winner, fresh = {}, []
+        for k, v, note in rows:
+            if k is None or k not in found:
+                fresh.append([k, v, note])
+                actions.append("insert")
+            elif v != found[k]:
+                winner[k] = (v, note)
+                actions.append("update")
+            else:
+                actions.append("unchanged")
+        for r in state:
+            if r[0] in winner:
+                r[1], r[2] = winner[r[0]]
+        state += fresh
+    return sorted(map(tuple, state), key=repr), actions
+
+
+versions = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])), max_size=5)
+
+
+@settings(max_examples=40, deadline=None)
+@given(versions, st.lists(versions, min_size=1, max_size=6), st.booleans())
+def test_files_in_one_pass_equal_files_one_by_one(spark, stored, waves, small):
+    kept = [(k, v, "old") for k, v in stored]
+    files = [(f"f{i}", [(k, v, f"{i}.{j}") for j, (k, v) in enumerate(rows)]) for i, rows in enumerate(waves)]
+    state, actions = one_by_one(kept, files)
+    target = spark.createDataFrame(kept, "k string, v long, note string")
+    flat = [(n, k, v, note, name) for n, (name, (k, v, note)) in enumerate((name, r) for name, rows in files for r in rows)]
+    source = spark.createDataFrame(flat, "pos long, k string, v long, note string, file string").repartition(3)
+    result = merge.if_changed(target, source, ["k"], ["v"], ["v", "note"], ["pos"], small_source=small, files=["file"])
+    assert as_set(result.snapshot, "k", "v", "note") == state
+    assert [r["action"] for r in result.actions.orderBy("pos").collect()] == actions
