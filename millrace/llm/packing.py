@@ -28,13 +28,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
 from millrace.llm.shingles import slices
-from millrace.llm.text import BLANKS, ship
+from millrace.llm.text import ship
 
 
 @dataclass(frozen=True)
@@ -96,13 +95,7 @@ PIECE = "piece int, piece_start long, piece_size long, token_start long, piece_t
 
 def cut(texts: pa.Array, counts: tokens.WordCounts, longest: int) -> tuple[np.ndarray, ...]:
     """Row of each piece of the texts, tokens of its text, and PIECE; a text without tokens has one piece of none."""
-    plain = pc.utf8_trim(pc.fill_null(texts.cast(pa.large_string()), ""), characters=BLANKS)
-    split = pc.ascii_split_whitespace(plain)
-    each = split.flatten().dictionary_encode()
-    of = each.indices.to_numpy(zero_copy_only=False)
-    real = pc.not_equal(each.dictionary, "").to_numpy(zero_copy_only=False)[of]  # a blank text splits into an empty word
-    size = counts(each.dictionary.to_pylist())[of]
-    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    size, real, owner = tokens.counted_words(texts, counts)
     before = np.concatenate([[0], np.cumsum(size)])
     edge = before[np.searchsorted(owner, np.arange(len(texts) + 1))]
     total = np.diff(edge)

@@ -1,13 +1,15 @@
 """Token counts of whole texts, with overlap resynchronisation for huge documents.
 
-A text up to ``chunk`` characters is encoded in one call, in batches. A longer one is encoded in chunks that overlap,
-with the offsets of every token. Two neighbouring chunks are spliced at a character position p in their overlap that
-is *proven stable*: white space stands before p, a token starts at p in both encodings, and both agree, token for
-token, on the stretch up to p from the stable position before it. The tokenizer drops white space and never lets a
-token cross it, so nothing left of p depends on what is right of p, or the reverse. Where an overlap has no such
-position, it is widened twofold until it has one; if it reaches the start of the left chunk, both are encoded as one.
+A text up to ``chunk`` characters is counted by its words: the tokenizer drops white space and never lets a token cross
+it, so it makes of a text what it makes of its words, and few words make up most texts. A longer text is encoded in
+chunks that overlap, with the offsets of every token. Two neighbouring chunks are spliced at a character position p in
+their overlap that is *proven stable*: the tokenizer's own rules end a piece before p whatever stands around it, a token
+starts at p in both encodings, and both agree, token for token, on the stretch up to p from the stable position before
+it. Such positions are the ends of white space, the sides of a digit, and those between a letter and a mark of
+punctuation. Where an overlap has none, it is widened up to the last positions there are; where the chunk has none at
+all, as inside one endless word, a chunk twice as long is encoded, so that the work stays in proportion to the text.
 The counts are those of encoding the whole text, and no call holds the tokens of more than a chunk where the text has
-white space at all.
+stable positions at all.
 
 Defined cases: a null text counts as empty, with 0 bytes and 0 tokens. Repeated rows are counted each. An empty table
 gives an empty result. Other columns are not read. Special strings inside a text are what the tokenizer's defaults
@@ -16,7 +18,10 @@ make of them; begin and end tokens are not added, nothing is cut or padded.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import uuid
 from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -28,11 +33,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shingles import slices
-from millrace.llm.text import ship
+from millrace.llm.shingles import lowered, slices
+from millrace.llm.text import BLANKS, ship
 
 BLANK = frozenset(" \t\n\x0b\x0c\r")
 
+#: How a special string starts; a text with one is cut at white space only.
+SPECIAL = "<|"
+
+#: Marks that end a run of letters and join with nothing before them. An apostrophe is left out: it can start a piece
+#: that takes letters in.
+MARKS = frozenset('!"#$%&()*+,-./:;=>?@[]_{}~、。，．！？；：')
+
+# Fixed value: the pattern by which the public tokenizer splits a text into pieces.
+PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for ASCII without white space, in lower case.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -40,7 +57,7 @@ class Settings:
     limit: int = 2048
     chunk: int = 32_768
     overlap: int = 256
-    batch_bytes: int = 1 << 20
+    batch_bytes: int = 4 << 20
 
 
 PRODUCTION = Settings()
@@ -48,28 +65,49 @@ PRODUCTION = Settings()
 Encode = Callable[[str], tuple[list[int], list[tuple[int, int]]]]
 
 
-def stable(text: str, offsets: list[tuple[int, int]], start: int, low: int, high: int) -> list[int]:
-    """Positions of ``text`` from low to high where white space ends and a token of the chunk at ``start`` begins."""
+def is_stable(text: str, p: int) -> bool:
+    """Whether the tokenizer ends a piece before position p, whatever is left or right of the two characters there."""
+    before, after = text[p - 1], text[p]
+    if before in BLANK:
+        return True
+    if before.isascii() and after.isascii() and ((before.isdigit() and after.isalnum()) or (after.isdigit() and before.isalnum())):
+        return True
+    return after in MARKS and before.isalpha()
+
+
+def stable(text: str, offsets: list[tuple[int, int]], start: int, low: int, high: int, only_blanks: bool = False) -> list[int]:
+    """Stable positions of ``text`` from low to high where a token of the chunk at ``start`` begins."""
     at = bisect_left(offsets, (low - start, -1))
     out = []
     while at < len(offsets) and offsets[at][0] + start < high:
         p = offsets[at][0] + start
-        if p > 0 and text[p - 1] in BLANK and (at == 0 or offsets[at - 1][1] + start <= p) and (not out or out[-1] != p):
+        known = p > 0 and (text[p - 1] in BLANK if only_blanks else is_stable(text, p))
+        if known and (at == 0 or offsets[at - 1][1] + start <= p) and (not out or out[-1] != p):
             out.append(p)
         at += 1
     return out
 
 
+def before_last(text: str, low: int, high: int, n: int, only_blanks: bool = False) -> int | None:
+    """A position with n stable ones behind it, up to ``high``; none if there are fewer above ``low``."""
+    for p in range(high - 1, low, -1):
+        if (text[p - 1] in BLANK) if only_blanks else is_stable(text, p):
+            n -= 1
+            if n < 0:
+                return p
+    return None
+
+
 def _between(ids: list[int], offsets: list[tuple[int, int]], start: int, low: int, high: int) -> list[tuple[int, int]]:
     """(id, place) of the tokens that start from low to high."""
     a, b = bisect_left(offsets, (low - start, -1)), bisect_left(offsets, (high - start, -1))
     return [(i, s + start) for i, (s, _) in zip(ids[a:b], offsets[a:b], strict=True)]
 
 
-def splice(text: str, left: tuple, right: tuple, left_start: int, left_end: int, right_start: int) -> int | None:
+def splice(text: str, left: tuple, right: tuple, left_start: int, left_end: int, right_start: int, only_blanks: bool = False) -> int | None:
     """The last proven stable position in the overlap of two encoded chunks, if there is one."""
-    one = stable(text, left[1], left_start, right_start + 1, left_end)
-    both = sorted(set(one) & set(stable(text, right[1], right_start, right_start + 1, left_end)))
+    one = stable(text, left[1], left_start, right_start + 1, left_end, only_blanks)
+    both = sorted(set(one) & set(stable(text, right[1], right_start, right_start + 1, left_end, only_blanks)))
     for q, p in zip(both[-2::-1], both[:0:-1], strict=False):
         if _between(*left, left_start, q, p) == _between(*right, right_start, q, p):
             return p
@@ -82,20 +120,25 @@ def count_long(text: str, encode: Encode, settings: Settings = PRODUCTION) -> tu
     ids, offsets = encode(text[:end])
     total, chunks, widened = 0, 1, 0
     done = 0  # everything before is counted
+    only_blanks = SPECIAL in text
     while end < len(text):
-        overlap = settings.overlap
-        while True:
-            begin = end - overlap
-            if begin <= done:  # no way to cut: both as one
-                begin, stop = done, min(end + settings.chunk, len(text))
-                right, at = encode(text[begin:stop]), done
+        wide, at = 4, None
+        while at is None:
+            reach = before_last(text, done, end, wide, only_blanks)
+            if reach is None:
                 break
-            stop = min(begin + settings.chunk, len(text)) if overlap < settings.chunk // 2 else min(end + settings.chunk, len(text))
+            begin = min(end - settings.overlap, reach) if wide == 4 else reach
+            begin = max(begin, done + 1)
+            stop = min(max(begin + settings.chunk, end + settings.overlap), len(text))
+            right = encode(text[begin:stop])
+            at = splice(text, (ids, offsets), right, start, end, begin, only_blanks)
+            if at is not None and at <= done:
+                at = None
+            if at is None:
+                wide, widened = 4 * wide, widened + 1
+        if at is None:  # no way to cut: as one, and longer
+            begin, stop, at, widened = done, min(done + 2 * (end - done), len(text)), done, widened + 1
             right = encode(text[begin:stop])
-            at = splice(text, (ids, offsets), right, start, end, begin)
-            if at is not None and at > done:
-                break
-            overlap, widened = 2 * overlap, widened + 1
         total += len(_between(ids, offsets, start, done, at))
         ids, offsets = right
         start, end, done, chunks = begin, stop, at, chunks + 1
@@ -121,9 +164,10 @@ _loaded: dict[str, object] = {}
 
 
 class WordCounts:
-    """Tokens of single words; keeps the words it has met, up to ``KNOWN_WORDS``, then starts afresh.
+    """Tokens of single words; keeps what it has met, up to ``KNOWN_WORDS``, then starts afresh.
 
-    A tokenizer that drops white space and never lets a token cross it makes of a text what it makes of its words.
+    Words are few, their spellings many: where the tokenizer's pattern is the known one, an ASCII word is the sum of
+    its pieces in lower case, and only pieces not met before are encoded.
     """
 
     KNOWN_WORDS, LONGEST_KEPT, BATCH = 1_000_000, 32, 4_096
@@ -131,21 +175,53 @@ class WordCounts:
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.known: dict[str, int] = {}
+        part = lambda p: json.loads(p.__getstate__()) if p is not None else {}
+        first = part(tokenizer.pre_tokenizer).get("pretokenizers", [{}])[0]
+        lowers = {"type": "Lowercase"} in part(tokenizer.normalizer).get("normalizers", [])
+        self.splits = lowers and first.get("pattern") == {"Regex": PIECE_PATTERN}
+
+    def pieces(self, word: str) -> list[str]:
+        if not self.splits or not word.isascii() or SPECIAL in word:
+            return [word]
+        return [word.lower()] if word.isalpha() else PIECES.findall(word.lower())
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """Counts of distinct words."""
-        out = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        new = np.flatnonzero(out < 0)
-        for a in range(0, len(new), self.BATCH):
-            at = new[a : a + self.BATCH]
-            fresh = [words[k] for k in at]
-            out[at] = [len(got) for got in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            if len(self.known) + len(fresh) > self.KNOWN_WORDS:
-                self.known.clear()
-            self.known.update((w, int(n)) for w, n in zip(fresh, out[at], strict=True) if len(w) <= self.LONGEST_KEPT)
+        known = self.known
+        out = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(out < 0).tolist()
+        split = [self.pieces(words[k]) for k in new]
+        if len(known) + len(new) > self.KNOWN_WORDS:
+            known.clear()
+        met: dict[str, int] = {}
+        fresh = list({p for parts in split for p in parts if p not in known})
+        for a in range(0, len(fresh), self.BATCH):
+            part = fresh[a : a + self.BATCH]
+            got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            met.update(zip(part, map(len, got), strict=True))
+        known.update((p, n) for p, n in met.items() if len(p) <= self.LONGEST_KEPT)
+        for k, parts in zip(new, split, strict=True):
+            n = sum(known[p] if p in known else met[p] for p in parts)
+            out[k] = n
+            if len(words[k]) <= self.LONGEST_KEPT:
+                known[words[k]] = n
         return out
 
 
+def counted_words(texts: pa.Array, counts: WordCounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every word of the texts, one text after the other: its tokens, whether it is a word (a blank text splits into an
+    empty one), and the text it is in."""
+    plain = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not pc.any(pc.match_substring(plain, SPECIAL)).as_py():
+        plain = lowered(plain)  # as the tokenizer does, but before the words are told apart
+    split = pc.ascii_split_whitespace(pc.utf8_trim(plain, characters=BLANKS))
+    each = split.flatten().dictionary_encode()
+    of = each.indices.to_numpy(zero_copy_only=False)
+    real = pc.not_equal(each.dictionary, "").to_numpy(zero_copy_only=False)[of]
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    return counts(each.dictionary.to_pylist())[of], real, owner
+
+
 _word_counts: dict[str, WordCounts] = {}
 
 
@@ -170,13 +246,14 @@ def count_tokens(
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = dict(slim.dtypes)["doc_id"]
 
+    key = uuid.uuid4().hex
+
     def run(batches):
         import public_tokenizers
 
         file = path or public_tokenizers.path(settings.tokenizer)
-        if file not in _loaded:
-            _loaded[file] = load(file)
-        tokenizer = _loaded[file]
+        counts = word_counts(key, file)
+        tokenizer = counts.tokenizer
 
         def encode(part: str):
             got = tokenizer.encode(part, add_special_tokens=False)
@@ -185,13 +262,14 @@ def count_tokens(
         for batch in batches:
             texts = batch.column(1)
             tokens, chunks, widened = (np.zeros(len(texts), dtype=t) for t in (np.int64, np.int32, np.int32))
-            for a, b in slices(texts, settings.batch_bytes):
-                own = [t or "" for t in texts.slice(a, b - a).to_pylist()]
-                short = [n for n, t in enumerate(own) if len(t) <= settings.chunk]
-                for n, got in zip(short, tokenizer.encode_batch_fast([own[n] for n in short], add_special_tokens=False), strict=True):
-                    tokens[a + n], chunks[a + n] = len(got), 1
-                for n in set(range(len(own))) - set(short):
-                    tokens[a + n], chunks[a + n], widened[a + n] = count_long(own[n], encode, settings)
+            long = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False) > settings.chunk
+            short = pc.if_else(pa.array(long), "", texts)
+            for a, b in slices(short, settings.batch_bytes):
+                each, _, owner = counted_words(short.slice(a, b - a), counts)
+                tokens[a:b] = np.bincount(owner, weights=each, minlength=b - a).astype(np.int64)
+            chunks[~long] = 1
+            for n in np.flatnonzero(long).tolist():
+                tokens[n], chunks[n], widened[n] = count_long(texts[n].as_py(), encode, settings)
             size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             arrays = [batch.column(0), size, pa.array(tokens), pa.array(tokens > settings.limit), pa.array(chunks), pa.array(widened)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_tokens", "over_limit", "n_chunks", "n_widened"])

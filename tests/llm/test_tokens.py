@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -29,6 +30,43 @@ def test_overlaps_widen_without_white_space():
     assert n == len(encode(text)[0]) and chunks > 5 and widened > 0
 
 
+PIECES = ["the", "The", "DON'T", "'s", "'S", "it's", "'tis", "l'eau", "42", "a1b2", "...", "(x)", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "ÀB", "\x1c", "\x7f", "don't.'ve", "''", "_a_", "-"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), min_size=1, max_size=5).map("".join), min_size=1, max_size=20))
+def test_words_are_the_sums_of_their_pieces(words):
+    counts = tokens.WordCounts(TOKENIZER)
+    assert counts.splits
+    want = [len(encode(w)[0]) for w in words]
+    assert counts(words).tolist() == want and counts(words).tolist() == want
+    texts = [" ".join(words), "", None, "\t".join(words) + "\n"]
+    each, _, owner = tokens.counted_words(pa.array(texts), counts)
+    assert [int(each[owner == i].sum()) for i in range(4)] == [len(encode(t or "")[0]) for t in texts]
+
+
+DENSE = ["日本語", "文章", "。", "，", "a", "B", "7", "=", "+", "/", "́", "²", "é", "'s", "'", "x,y", "(", "½", "\u0338", "K", "ﬁ"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(DENSE), min_size=10, max_size=200).map("".join), st.sampled_from([(40, 8), (16, 4)]))
+def test_chunks_without_white_space(text, size):
+    assert tokens.count_long(text, encode, tokens.Settings(chunk=size[0], overlap=size[1]))[0] == len(encode(text)[0])
+
+
+@pytest.mark.parametrize("unit", ["漢字仮名交文", "漢字仮名交文。", "Ab3/xYz+"])
+def test_work_is_in_proportion_without_white_space(unit):
+    """Characters encoded in all, against those of one call: no machine's speed is in the figure."""
+    done, text = [], unit * 60_000
+
+    def counted(part):
+        done.append(len(part))
+        return encode(part)
+
+    assert tokens.count_long(text, counted)[0] == len(encode(text)[0])
+    assert sum(done) <= 3 * len(text)
+
+
 def test_table(spark, documents, clashing):
     rng = random.Random(4)
     rows = [(i, "".join(rng.choice(BITS) for _ in range(rng.randint(0, 300)))) for i in range(60)]
