@@ -159,10 +159,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHAT_SQL = """
-WITH t AS (
-  SELECT conv_id, coalesce(floor(turn / 1024.0), 0)::BIGINT AS part, turn, role,
-    replace(coalesce(text, ''), '<|', '< |') AS body
-  FROM conversations WHERE conv_id IS NOT NULL
+WITH b AS (
+  SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT *, coalesce(sum(length(body) + 8) OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, body
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS said_before, sum(length(body) + 8) OVER (PARTITION BY conv_id) AS total FROM b
+), t AS (
+  SELECT conv_id, (CASE WHEN total > 1048576 THEN said_before // 1048576 ELSE 0 END)::BIGINT AS part, turn, role, body FROM l
 ), s AS (
   SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role IS NOT NULL AND role <> 'system'
 ), j AS (

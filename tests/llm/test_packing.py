@@ -3,7 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -86,6 +86,7 @@ def test_bins_hold_tokens(spark, documents):
     assert packing.pack_table(spark, words, length=F.col("n")).where("n_tokens > 0 AND bin_no IS NULL").count() == 0
 
 
+@settings(deadline=None)  # the first example loads the tokenizer
 @given(st.lists(st.sampled_from(BITS), max_size=150).map("".join))
 def test_tokens_of_a_text_are_those_of_its_words(text):
     tokenizer = tokens.load(public_tokenizers.path(tokens.PRODUCTION.tokenizer)) if not KEPT else KEPT[0]
