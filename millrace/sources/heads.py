@@ -4,6 +4,7 @@ sibling module."""
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -26,17 +27,37 @@ def open_stream(path: str):
     return fs.open_input_stream(name)
 
 
+# What decides where the first record ends: quotes, cell ends and line breaks. Bytes of other characters are never these.
+SIGNS = re.compile(rb'[",\n]')
+
+
 def first_record(stream) -> bytes:
-    """Everything before the first line break outside quotes, however long it is."""
+    """Everything before the first line break outside quotes, however long it is.
+
+    A quote opens a cell only at its start; inside an open cell, two quotes are one and a single one closes it. Any
+    other quote is text.
+    """
     parts: list[bytes] = []
-    quotes = 0
+    opened = pending = False  # inside quotes; behind a quote that may close them
+    last, read = -1, 0  # place of the last sign outside quotes; bytes read before this piece
     while piece := stream.read(PIECE_BYTES):
-        at = -1
-        for line in piece.splitlines(keepends=True):
-            quotes += line.count(b'"')
-            at += len(line)
-            if quotes % 2 == 0 and line.endswith(b"\n"):
-                return b"".join([*parts, piece[: at + 1]])
+        if not read and piece.startswith(b"\xef\xbb\xbf"):
+            last = 2  # behind the byte order mark the first cell starts
+        for m in SIGNS.finditer(piece):
+            at, sign = read + m.start(), m[0]
+            if pending and not (sign == b'"' and at == last + 1):
+                opened = pending = False
+            if opened:
+                if sign == b'"':
+                    pending, last = not pending, at
+            elif sign == b'"':
+                if at == last + 1:
+                    opened = True
+            elif sign == b"\n":
+                return b"".join([*parts, piece[: m.end()]])
+            else:
+                last = at
+        read += len(piece)
         parts.append(piece)
     return b"".join(parts)
 
