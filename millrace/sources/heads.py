@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSystem, FileType
 
 PIECE_BYTES = 1 << 16
 CHUNK_BYTES = 8 << 20
@@ -85,3 +85,18 @@ def hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     digest.update(chunk)
             hashes.append(digest.hexdigest())
         yield pa.RecordBatch.from_pydict({"path": paths, "file_hash": hashes})
+
+
+def move_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Moves each file to its target. A file that an earlier attempt moved is done."""
+    for batch in batches:
+        for path, target in zip(batch.column("path").to_pylist(), batch.column("target").to_pylist(), strict=True):
+            fs, source = FileSystem.from_uri(arrow_path(path))
+            _, goal = FileSystem.from_uri(arrow_path(target))
+            if fs.get_file_info(source).type == FileType.NotFound:
+                if fs.get_file_info(goal).type == FileType.NotFound:
+                    raise FileNotFoundError(path)
+                continue
+            fs.create_dir(goal.rsplit("/", 1)[0], recursive=True)
+            fs.move(source, goal)
+        yield batch

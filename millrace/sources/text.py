@@ -52,6 +52,13 @@ def headers_of(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(heads.read_heads, "path string, header string")
 
 
+def move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Moves files, (path, target), in tasks; the pairs are those of one batch of a stream."""
+    cloudpickle.register_pickle_by_value(heads)
+    frame = spark.createDataFrame(moves, "path string, target string")
+    frame.mapInArrow(heads.move_files, "path string, target string").write.format("noop").mode("overwrite").save()
+
+
 def plain_path(uri: Column) -> Column:
     """A metadata path in the form file listings use: not escaped, one slash after ``file:``."""
     text = F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
