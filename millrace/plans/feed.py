@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 from dataclasses import dataclass, replace
@@ -213,8 +212,7 @@ def read_raw(spark: SparkSession, paths: list[str]) -> DataFrame:
     texts = [p for p in paths if p.lower().endswith(".csv")]
     frames = [read_csv_strings(spark, texts, with_position=True, surplus=SURPLUS)] if texts else []
     if tables:
-        dbf.register(spark)
-        df = spark.read.format("dbf").option("paths", json.dumps(tables)).load()
+        df = dbf.read_tables(spark, tables)
         frames.append(
             df.select(
                 *[quoted(c) for c in df.columns if c not in ("file_path", "row_ord")],

@@ -1,5 +1,6 @@
 """Nothing of a feed file goes missing without a trace."""
 
+import os
 import random
 import struct
 
@@ -166,3 +167,38 @@ def test_dbf_varchar_is_text(spark, folder):
     assert got == [("abc", "wxyz"), ("abcdef", "\xe9 "), ("", None)]
     path = dbf_file(f"{folder}/plain.dbf", fields[:2], [b" r1abc   ", b" r2abcdef"], version=0x03)
     assert [r["A"] for r in spark.read.format("dbf").load(path).orderBy("row_ord").collect()] == ["abc", "abcdef"]
+
+
+def test_headers_and_ranges_are_read_in_tasks(spark, folder, monkeypatch):
+    """A thousand tables, none of which the driver opens."""
+    fields = [("A", "C", 4), ("B", "N", 3)]
+    for i in range(1000):
+        more = [("EXTRA", "C", 2)] if i == 700 else []
+        dbf_file(f"{folder}/t{i:04d}.dbf", fields + more, [b" r%03d%3d" % (i, i % 9) + (b"xy" if more else b"")] * (i % 3))
+
+    driver, opened, real = os.getpid(), [], dbf._open
+
+    def watched(path):
+        if os.getpid() == driver:
+            opened.append(path)
+        return real(path)
+
+    monkeypatch.setattr(dbf, "_open", watched)
+    paths = [f"{folder}/t{i:04d}.dbf" for i in range(1000)]
+    df = dbf.read_tables(spark, paths, range_bytes=16)
+    assert df.columns == ["A", "B", "EXTRA", "file_path", "row_ord"] and not opened
+    got = df.collect()
+    assert len(got) == sum(i % 3 for i in range(1000))
+    assert {r["EXTRA"] for r in got if r["file_path"].endswith("t0700.dbf")} == {"xy"}
+    assert all(r["A"] == "r" + r["file_path"][-7:-4] and r["B"] == str(int(r["A"][1:]) % 9) for r in got)
+
+
+def test_latin_text_of_varying_length():
+    import numpy as np
+
+    cells = np.frombuffer("é\xe9b\x00abcd\xff\x00\x00\x01".encode("latin1"), dtype=np.uint8).reshape(3, 4)
+    flags = np.array([[0], [0], [3]], dtype=np.uint8)
+    assert dbf.decode_varchar(cells, flags, 0, 1).to_pylist() == ["éébé"[:3] + "\x00", "abcd", None]
+    flags = np.array([[1], [1], [1]], dtype=np.uint8)
+    cells = np.frombuffer(b"\xe9\xe9b\x02abc\x00\xffxy\x03", dtype=np.uint8).reshape(3, 4)
+    assert dbf.decode_varchar(cells, flags, 0, 1).to_pylist() == ["éé", "", "ÿxy"]
