@@ -3,7 +3,8 @@
 1. **Targets.** Sources share a budget of words by weight. None may give more than ``most`` times what it has; what
    it cannot give is shared again by weight. The result is one level: a source gives ``least(level * weight, cap)``,
    and the level follows from sources sorted by cap over weight.
-2. **Order.** Inside a source, documents stand in the order of the md5 of their id. The running sum of words is
+2. **Order.** Inside a source, documents stand in the order of the md5 of their id and text, so that rows of one id, or of
+   none, lie apart. The running sum of words is
    taken in two steps, over slices of the hash range and inside each slice, so that no source meets in one task.
 3. **Copies.** As many whole passes as fit into the target, and one more copy of each document whose middle lies
    below the rest of it. A source ends at most half a document from its target.
@@ -12,8 +13,7 @@
 5. ``mix`` sorts all copies by position with a range partitioning.
 
 Defined cases: a null source is a source of its own and stands last; a null or blank text has size 0, and a document
-of size 0 is taken as often as its place says, with 0 words; a null id sorts by an empty hash. Repeated rows count
-each. A source without a word has target 0. An empty table gives an empty mix. Other columns are carried unread.
+of size 0 is taken as often as its place says, with 0 words; a null id is left out of the hash. Repeated rows count each. A source without a word has target 0. An empty table gives an empty mix. Other columns are carried unread.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def _sized(docs: DataFrame, carried: Column, doc_id: str, source: str, text: str
         carried.alias("carried"),
         F.col(f"`{source}`").cast("string").alias("source"),
         F.size(words(F.col(f"`{text}`"))).cast("long").alias("size"),
-        F.coalesce(F.md5(F.col(f"`{doc_id}`").cast("string")), F.lit("")).alias("hash"),
+        F.md5(F.concat_ws("|", F.col(f"`{doc_id}`").cast("string"), F.col(f"`{text}`"))).alias("hash"),
     )
     first = F.coalesce(F.conv(F.substring("hash", 1, 8), 16, 10).cast("long"), F.lit(0))
     return own.withColumn("slice", F.floor(first * F.lit(parts) / F.lit(1 << 32)).cast("long"))

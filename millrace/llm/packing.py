@@ -1,7 +1,7 @@
 """Best-fit packing into sequences of several permitted lengths.
 
-Documents are dealt by a hash of their id and length into shards of a bounded number of pieces (``Settings.shard``);
-each shard is packed by itself, so no step sees more than a shard, and the loss is a few half-filled bins per shard.
+Pieces are dealt by a hash of their place in the scan into shards of a bounded number (``Settings.shard``), whatever
+their ids; each shard is packed by itself, so no step sees more than a shard, and the loss is a few half-filled bins per shard.
 
 Documents in training order (``in_order``) are dealt by their place in it instead, ``Settings.stretch`` in a row to a
 shard: a sequence holds documents of one stretch of the run, and shards stand in the order of the run.
@@ -28,12 +28,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
 from millrace.llm.shingles import slices
-from millrace.llm.text import ship
+from millrace.llm.text import land, ship
 
 
 @dataclass(frozen=True)
@@ -110,19 +110,20 @@ def cut(texts: pa.Array, counts: tokens.WordCounts, longest: int) -> tuple[np.nd
     return row, total[row], number, upto - upto[first[row]], n_words, start, np.minimum(total[row] - start, longest)
 
 
-def in_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def in_order(spark: SparkSession, docs: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     """``docs``, as read from files, with ``position``: the row's place in the order in which the rows were written.
 
-    Spark numbers the files of a sorted table by its partitions, so files in order of their names, and the rows of
-    each, are the order.
+    Spark numbers the files of a sorted table by its partitions, so files in order of their numbers, and the rows of
+    each, are the order. Offsets are a table with one row per file; none of it comes to the driver.
     """
     place = docs.metadataColumn("_metadata")
-    found = docs.select(place["file_path"].alias("file")).groupBy("file").agg(F.count("*").alias("n")).collect()  # one row per file
-    starts, total = [], 0
-    for r in sorted(found):
-        starts.append((r["file"], total))
-        total += r["n"]
-    known = F.broadcast(spark.createDataFrame(starts, "packing_file string, packing_start long"))
+    files = docs.select(place["file_path"].alias("packing_file")).groupBy("packing_file").agg(F.count("*").alias("n"))
+    number = F.regexp_extract("packing_file", "part-([0-9]+)[^/]*$", 1).try_cast("long")
+    earlier = Window.orderBy(number, "packing_file").rowsBetween(Window.unboundedPreceding, -1)
+    known = files.select("packing_file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("packing_start"))
+    known = land(spark, known, "packing-files")
+    if known.count() <= broadcast_rows:
+        known = F.broadcast(known)
     joined = docs.select("*", place["file_path"].alias("packing_path"), place["row_index"].alias("packing_row"))
     joined = joined.join(known, F.col("packing_path") == F.col("packing_file"))
     return joined.withColumn("position", F.col("packing_start") + F.col("packing_row")).select(*[f"`{c}`" for c in docs.columns if c != "position"], "position")
@@ -185,7 +186,8 @@ def pack_table(
         shard = F.floor(F.col("position") / settings.stretch).cast("int")
     else:
         shards = max(1, -(-docs.count() // settings.shard))
-        shard = F.pmod(F.xxhash64("doc_id", "n_tokens", "piece"), F.lit(shards)).cast("int")
+        # By the place of the row in the scan: rows of one id, or of none, are spread like any other.
+        shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")
     # A row without tokens goes to no bin; its shard is a negative one, so that the texts are read once.
     pieces = pieces.withColumn("bin_shard", F.when(F.col("n_tokens") > 0, shard).otherwise(-1 - shard))
     order = ["piece_tokens", "position" if position else "doc_id", "piece"]

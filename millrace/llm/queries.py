@@ -59,7 +59,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIX_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size, coalesce(md5(doc_id::VARCHAR), '') AS h FROM documents
+  SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size, md5(concat_ws('|', doc_id::VARCHAR, text)) AS h FROM documents
 ), s AS (
   SELECT source, sum(size)::DOUBLE AS source_size FROM d GROUP BY source
 ), r AS (

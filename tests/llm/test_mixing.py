@@ -81,3 +81,10 @@ def test_schedules_bend_the_order(spark, documents):
 def test_empty(spark, documents):
     assert mixing.account(spark, documents([(1, "x")]).where("false")).count() == 0
     assert mixing.mix(spark, documents([(1, "x")]).where("false")).count() == 0
+
+
+def test_rows_without_id_lie_in_many_slices(spark, documents):
+    rows = [(None, f"w {i}", "en", "a") for i in range(900)]
+    sized = mixing._sized(documents(rows), mixing.F.lit(0), "doc_id", "source", "text", 30)
+    got = [r["count"] for r in sized.groupBy("slice").count().collect()]
+    assert len(got) == 30 and max(got) < 90

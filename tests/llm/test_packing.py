@@ -118,3 +118,21 @@ def test_pipeline_packs_along_the_curriculum(spark, documents, folder):
     got = corpus_pipeline.packed(spark, spark.read.parquet(f"{folder}/mix"), folder).toPandas()
     spans = got.groupby(["bin_shard", "bin_no"])["position"].agg(["min", "max"])
     assert (spans["max"] - spans["min"]).max() < S.stretch and got["bin_shard"].nunique() == 3
+
+
+def test_rows_of_one_id_are_spread_over_shards(spark, documents):
+    df = documents([(None, "w x y")], 1).select("doc_id", "text").crossJoin(spark.range(30_000)).drop("id")
+    got = packing.pack_table(spark, df, length=F.lit(3)).groupBy("bin_shard").count().collect()
+    assert sum(r["count"] for r in got) == 30_000 and len(got) == 4 and max(r["count"] for r in got) <= 8_192
+
+
+def test_files_are_in_the_order_of_their_numbers(spark, folder):
+    import os
+
+    for n in (99_999, 100_000, 7):
+        spark.createDataFrame([(n, 0), (n, 1)], "doc_id long, k long").coalesce(1).write.parquet(f"{folder}/{n}")
+        name = next(f for f in os.listdir(f"{folder}/{n}") if f.endswith(".parquet"))
+        os.makedirs(f"{folder}/all", exist_ok=True)
+        os.link(f"{folder}/{n}/{name}", f"{folder}/all/part-{n:05d}-x.parquet")
+    got = packing.in_order(spark, spark.read.parquet(f"{folder}/all")).collect()
+    assert {r["position"]: (r["doc_id"], r["k"]) for r in got} == dict(enumerate((n, k) for n in (7, 99_999, 100_000) for k in (0, 1)))
