@@ -19,6 +19,7 @@ from millrace.catalog.feedrows import (
 from millrace.functions.clean import clean_numeric, clean_text
 from millrace.operators import ledger, match, merge, report
 from millrace.operators.dedup import keep_first
+from millrace.operators.position import POSITION, land_in_order
 from millrace.operators.validate import split_valid
 
 PARTIAL = ["amount", "traddate", "remarks", "updated_on"]
@@ -281,11 +282,11 @@ def merge_last_wins(spark, sf_dir):
     target = keep_first(seed, ["folio", "line"], LINE_ORDER).select(LINE_COLUMNS)
     return merge.last_wins(
         target,
-        source,
+        land_in_order(source, LINE_ORDER, "lines"),
         ["folio", "line"],
         ["quantity", "price"],
         ["file_path", "created_on", "updated_on"],
-        LINE_ORDER,
+        [POSITION],
     ).snapshot
 
 

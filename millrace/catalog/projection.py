@@ -8,14 +8,15 @@ from pyspark.sql.types import StructType
 from millrace.catalog import shapes as S
 from millrace.catalog.base import query, table
 from millrace.catalog.feedrows import FEED_KINDS
+from millrace.operators.profile import cardinality_profile, column_sketches, merged_profile
 from millrace.operators.schema import (
-    cardinality_profile,
     conform,
     conform_dynamic,
     dynamic_kinds,
     narrow_floats,
     rename_all,
 )
+from millrace.session import scratch_path
 
 
 @query(
@@ -106,3 +107,27 @@ def profile_sql() -> str:
 def profile_cardinality(spark, sf_dir):
     profile = cardinality_profile(table(spark, sf_dir, "part"))
     return profile.withColumn("low", F.when(F.col("low"), "Y").otherwise("N"))
+
+
+PROFILED = "'n' || (o_custkey % 701) AS name, o_orderstatus AS status, nullif(o_orderpriority, '5-LOW') AS priority"
+
+
+def merge_profile_sql() -> str:
+    one = "SELECT '{c}' AS column_name, count(*) AS n_rows, count(DISTINCT {c}) AS distinct_values, 'Y' AS same, 'Y' AS near FROM orders"
+    return " UNION ALL ".join(one.format(c=c) for c in ("name", "status", "priority")).replace("FROM orders", f"FROM (SELECT {PROFILED} FROM orders)")
+
+
+@query("profile_merge", merge_profile_sql())
+def profile_merge(spark, sf_dir):
+    """Sketches of many files, stored and united, against one sketch of all rows and the exact profile."""
+    path = scratch_path(spark, "sketches")
+    shown = PROFILED.replace("(o_custkey % 701)", "CAST(o_custkey % 701 AS STRING)")
+    rows = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey % 13 AS INT) AS file", *shown.split(", ", 2)[:2], shown.split(", ", 2)[2])
+    column_sketches(rows, ["file"]).write.parquet(path)
+    many = merged_profile(spark.read.parquet(path)).select("column_name", F.col("rows").alias("n_rows"), F.col("distinct_values").alias("m"))
+    once = cardinality_profile(rows, exact=False).select("column_name", F.col("distinct_values").alias("o"))
+    exact = cardinality_profile(rows).select("column_name", "distinct_values")
+    near = F.abs(F.col("m") - F.col("distinct_values")) <= 0.05 * F.col("distinct_values")
+    yes = lambda c: F.when(c, "Y").otherwise("N")
+    joined = many.join(once, "column_name").join(exact, "column_name")
+    return joined.select("column_name", "n_rows", "distinct_values", yes(F.col("m") == F.col("o")).alias("same"), yes(near).alias("near"))

@@ -94,9 +94,9 @@ def stream_dedup_keys(spark, sf_dir):
     waves = [events.union(events), events.where("event_id % 2 = 0"), events.union(late), late]
     for n, (rows, hours) in enumerate(zip(waves, (0, 1, 9, 30), strict=True)):
         stamp = f"timestamp'2024-01-01 00:00:00' + make_dt_interval(0, {hours})"
-        rows.selectExpr("*", f"{stamp} AS arrived").write.parquet(f"{inbox}/{n}")
-        schema = rows.schema.add("arrived", "timestamp")
-        dedup_to_table(read_table_stream(spark, inbox, schema), KEYS, "arrived", "2 hours", out, checkpoint).awaitTermination()
+        arriving = rows.selectExpr("*", f"{stamp} AS arrived")
+        arriving.write.parquet(f"{inbox}/{n}")
+        dedup_to_table(read_table_stream(spark, inbox, arriving.schema), KEYS, "arrived", "2 hours", out, checkpoint).awaitTermination()
     return spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(out)
 
 

@@ -37,7 +37,6 @@ MONTH_RE = (
 )
 MON = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
 TIME_RE = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?[AaPp][Mm])?Z?$"
-ISO_RE = "^(1[7-9]|2[01])[0-9]{2}-[0-9]{1,2}-[0-9]{1,2}$"
 
 # Accepted shapes and how each rewrites to year:month:day. The colon keeps a rewritten value out of
 # the shapes that follow. Two-part ambiguity is resolved month first; a first part above 12 can only
@@ -92,6 +91,12 @@ def _as_named_date(c: Column) -> Column:
     return F.try_to_timestamp(known, F.lit("y:MMM:d")).cast("date")
 
 
+def _plain_iso(s: Column) -> Column:
+    """Ten characters, dashes in their places, a year well inside the range: told without a pattern."""
+    dashes = (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+    return (F.length(s) == 10) & dashes & (s >= "1700") & (s < "2200")
+
+
 def clean_date(c: Column, century_from: int = CENTURY_FROM) -> Column:
     """Date from any of the accepted shapes, time of day ignored.
 
@@ -100,7 +105,7 @@ def clean_date(c: Column, century_from: int = CENTURY_FROM) -> Column:
     s = _strip(c)
     dated = F.regexp_replace(s, TIME_RE, "")
     return (
-        F.when(s.rlike(ISO_RE), s.try_cast("date"))
+        F.when(_plain_iso(s), s.try_cast("date"))
         .when(
             dated.rlike(MONTH_RE),
             _as_named_date(_rewrite(dated, NAMED_DATE_SHAPES, century_from)),

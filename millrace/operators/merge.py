@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import keep_first, keep_last
-from millrace.operators.match import near_keys, new_rows
+from millrace.operators.match import near_keys
 from millrace.operators.position import land, place
 from millrace.operators.skew import HOT_ROWS, incomplete, null_slot, spread_join
 
@@ -157,12 +157,6 @@ def append(target: DataFrame, source: DataFrame) -> MergeResult:
     )
 
 
-def _first_files(rows: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> DataFrame:
-    """Rows with ``_first``, the first file that has their key; NULL for an incomplete key."""
-    first = rows.where(~incomplete(keys)).groupBy(*keys).agg(F.min("file_path").alias("_first"))
-    return spread_join(rows, first, keys, order, "left", hot_rows)
-
-
 def contact_only(
     target: DataFrame,
     source: DataFrame,
@@ -177,30 +171,31 @@ def contact_only(
 
     A file whose path the target already holds is skipped whole. ``many_files``: the files of the source
     count as merged one after another by path, in one pass: the first file with a new key inserts it, later
-    ones change its contact columns.
+    ones change its contact columns. One aggregation tells of each key whether it is stored, where its last row is and
+    which file has it first; the judged rows land as a table, and snapshot and actions are taken from it.
     """
     arriving = source.select("file_path").distinct()
     seen = target.select("file_path").distinct().join(arriving, "file_path", "left_semi")
-    batch = spread_join(source, seen, ["file_path"], order, "left_anti", hot_rows)
-    last = keep_last(batch.where(~incomplete(keys)), keys, order)
-    updated = update_matches(target, last, keys, contact, hot_rows, small_source)
-    inserted = new_rows(batch, target, keys, order, hot_rows, small_source)
-    if not many_files:
-        return MergeResult(
-            updated.unionByName(inserted.select(target.columns)),
-            lambda: matched_actions(batch, target, keys, order, small_source),
-        )
-    placed = _first_files(inserted, keys, order, hot_rows)
-    later = F.coalesce(F.col("file_path") > F.col("_first"), F.lit(False))
-    ends = _values(keep_last(placed.where(later), keys, order), keys, contact)
-    opened = spread_join(placed.where(~later), ends, keys, order, "left", hot_rows)
-
-    def build_actions() -> DataFrame:
-        acted = matched_actions(batch, target, keys, order, small_source)
-        known = _first_files(acted, keys, order, hot_rows)
-        return known.withColumn("action", F.when(later, UPDATE).otherwise(F.col("action"))).drop("_first")
-
-    return MergeResult(updated.unionByName(_apply(opened, target.columns, contact)), build_actions)
+    batch = land(spread_join(source, seen, ["file_path"], order, "left_anti", hot_rows), "batch")
+    complete = batch.where(~incomplete(keys))
+    near = near_keys(target.select(keys), complete, keys, small_source).where(~incomplete(keys))
+    nothing = F.lit(None)
+    rows = complete.select(*keys, place(order).alias("_at"), F.col("file_path").alias("_file"), F.lit(False).alias("_stored"))
+    kinds = dict(rows.dtypes)
+    known = near.select(*keys, nothing.cast(kinds["_at"]).alias("_at"), nothing.cast("string").alias("_file"), F.lit(True).alias("_stored"))
+    ends = rows.unionByName(known).groupBy(*keys).agg(
+        F.max("_at").alias("_last"), F.min("_file").alias("_first"), F.max("_stored").alias("_known")
+    )
+    joined = spread_join(batch, ends, keys, order, "left", hot_rows)
+    stored = F.coalesce(F.col("_known"), F.lit(False))
+    later = F.coalesce(F.col("file_path") > F.col("_first"), F.lit(False)) if many_files else F.lit(False)
+    matched = stored | later
+    last = F.coalesce(place(order) == F.col("_last"), F.lit(False))
+    action = F.when(matched, UPDATE).otherwise(INSERT)
+    judged = land(joined.select(*source.columns, action.alias("action"), (matched & last).alias("_last_word")), "judged")
+    inserted = judged.where(F.col("action") == INSERT).select(target.columns)
+    snapshot = update_matches(target.unionByName(inserted), judged.where("_last_word"), keys, contact, hot_rows, small_source)
+    return MergeResult(snapshot, lambda: judged.drop("_last_word"))
 
 
 def _file_ends(source: DataFrame, keys: list[str], files: list[str], tracked: list[str], order: list[str]) -> DataFrame:

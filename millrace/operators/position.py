@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.session import scratch_path
 
@@ -50,6 +51,6 @@ def land_in_order(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.orderBy(*order).withColumn("_range", F.spark_partition_id().cast("bigint")).write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema.add("_range", "bigint")).parquet(path)
+    stored = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_range", LongType())])).parquet(path)
     number = F.shiftleft("_range", 40).bitwiseOR(F.col("_metadata.row_index"))
     return stored.withColumn(POSITION, number).select(*df.columns, POSITION)

@@ -1,4 +1,4 @@
-"""Projection operators: header renames, conforming to a target schema, lineage, column profiles."""
+"""Projection operators: header renames, conforming to a target schema, lineage."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions.clean import CENTURY_FROM, CLEANERS, STORED_TYPES, clean_date
+from millrace.functions.clean import CENTURY_FROM, CLEANERS, STORED_TYPES, clean_date, clean_text
 from millrace.functions.names import kind_by_keyword, match_column, snake_case
 
 LINEAGE = ("file_path", "created_at", "updated_at")
@@ -47,13 +47,25 @@ def cleaned(name: str, kind: str, century_from: int) -> Column:
     return clean_date(text, century_from) if kind == "date" else CLEANERS[kind](text)
 
 
-def bad_cells(sources: dict[str, str | None], kinds: dict[str, str], century_from: int) -> Column:
-    """Names of the typed columns whose input text is not blank and yet gave NULL."""
-    typed = [n for n, k in kinds.items() if sources.get(n) is not None and k not in ("string", "text", "flag")]
-    if not typed:
-        return F.array().cast("array<string>")
-    lost = lambda n: cleaned(sources[n], kinds[n], century_from).isNull() & cleaned(sources[n], "string", 0).isNotNull()
-    return F.array_compact(F.array(*[F.when(lost(n), F.lit(n)) for n in typed]))
+def with_bad_cells(df: DataFrame, raw: dict[str, Column], bad: str | None, names: list[str]) -> DataFrame:
+    """``df`` of cleaned columns, with ``bad``: the names of those whose input text is not blank and yet gave NULL.
+
+    The input text of typed columns stands beside them for one projection, so that no cell is cleaned twice.
+    """
+    shown = [F.col(quoted(n)) for n in names]
+    if bad is None:
+        return df.select(shown)
+    lost = [F.when(F.col(quoted(n)).isNull() & clean_text(text).isNotNull(), F.lit(n)) for n, text in raw.items()]
+    found = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    return df.select(*shown, found.alias(bad))
+
+
+def _raw(n: str) -> str:
+    return f"_raw_{n}"
+
+
+def _typed(kinds: dict[str, str], sources: dict[str, str | None]) -> dict[str, str]:
+    return {n: sources[n] for n, k in kinds.items() if sources.get(n) is not None and k not in ("string", "text", "flag")}
 
 
 def conform(
@@ -74,9 +86,9 @@ def conform(
         return cleaned(found, kind, century_from).alias(name)
 
     cells = [cell(n, k) for n, k in kinds.items()] + [F.col(c) for c in keep]
-    if bad is not None:
-        cells.append(bad_cells({n: source_of(n, df.columns) for n in kinds}, kinds, century_from).alias(bad))
-    return df.select(cells)
+    typed = _typed(kinds, {n: source_of(n, df.columns) for n in kinds}) if bad is not None else {}
+    beside = [F.col(quoted(s)).cast("string").alias(_raw(n)) for n, s in typed.items()]
+    return with_bad_cells(df.select(*cells, *beside), {n: F.col(quoted(_raw(n))) for n in typed}, bad, [*kinds, *keep])
 
 
 def dynamic_kinds(target: StructType, **words) -> dict[str, str]:
@@ -104,9 +116,10 @@ def conform_dynamic(
         else F.lit(None).cast(STORED_TYPES[kind]).alias(name)
         for name, kind in kinds.items()
     ]
-    if bad is not None:
-        cells.append(bad_cells(mapping, kinds, century_from).alias(bad))
-    return df.select(cells + [F.col(c) for c in keep])
+    typed = _typed(kinds, mapping) if bad is not None else {}
+    beside = [F.col(quoted(s)).cast("string").alias(_raw(n)) for n, s in typed.items()]
+    shown = df.select(*cells, *[F.col(c) for c in keep], *beside)
+    return with_bad_cells(shown, {n: F.col(quoted(_raw(n))) for n in typed}, bad, [*kinds, *keep])
 
 
 def add_lineage(df: DataFrame, run_ts: str, file_path: Column | None = None) -> DataFrame:
@@ -123,26 +136,3 @@ def narrow_floats(df: DataFrame) -> DataFrame:
     return df.select(
         [F.col(quoted(n)).cast("float").alias(n) if t == "double" else F.col(quoted(n)) for n, t in df.dtypes]
     )
-
-
-def cardinality_profile(df: DataFrame, exact: bool = True, limit: float = 0.5) -> DataFrame:
-    """Distinct share of each text column as rows (column_name, distinct_values, ratio, low).
-
-    Partial aggregation reduces each column to its distinct values before any shuffle; with
-    ``exact=False`` only sketches are exchanged.
-    """
-    text = [n for n, t in df.dtypes if t == "string"]
-    distinct = F.countDistinct if exact else F.approx_count_distinct
-    counts = df.select(text).agg(
-        F.count(F.lit(1)).alias("_rows"), *[distinct(F.col(quoted(n))).alias(n) for n in text]
-    )
-    entries = F.array(
-        *[F.struct(F.lit(n).alias("column_name"), F.col(quoted(n)).alias("n")) for n in text]
-    )
-    ratio = F.col("e.n") / F.nullif(F.col("_rows"), F.lit(0))
-    return counts.select("_rows", F.explode(entries).alias("e")).select(
-        F.col("e.column_name"),
-        F.col("e.n").alias("distinct_values"),
-        ratio.alias("ratio"),
-        (ratio < limit).alias("low"),
-    )

@@ -211,7 +211,7 @@ def one_by_one(stored, files):
 versions = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])), max_size=5)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(versions, st.lists(versions, min_size=1, max_size=6), st.booleans())
 def test_files_in_one_pass_equal_files_one_by_one(spark, stored, waves, small):
     kept = [(k, v, "old") for k, v in stored]
@@ -223,3 +223,46 @@ def test_files_in_one_pass_equal_files_one_by_one(spark, stored, waves, small):
     result = merge.if_changed(target, source, ["k"], ["v"], ["v", "note"], ["pos"], small_source=small, files=["file"])
     assert as_set(result.snapshot, "k", "v", "note") == state
     assert [r["action"] for r in result.actions.orderBy("pos").collect()] == actions
+
+
+def test_last_wins_by_position_needs_no_sorted_aggregation(spark):
+    from millrace.operators.position import POSITION, land_in_order
+
+    rows = [(i, f"k{i % 40}", i) for i in range(400)]
+    source = spark.createDataFrame(rows, "pos long, k string, v long").withColumn("born", F.col("pos").cast("string")).repartition(5)
+    landed = land_in_order(source, ["pos"], "ordered")
+    assert [r["pos"] for r in landed.orderBy(POSITION).collect()] == list(range(400))
+    target = spark.createDataFrame([("k1", -1, "old")], "k string, v long, born string")
+    result = merge.last_wins(target, landed, ["k"], ["v"], ["born"], [POSITION])
+    want = [(f"k{i}", 360 + i, "old" if i == 1 else str(i)) for i in range(40)]
+    assert as_set(result.snapshot, "k", "v", "born") == sorted(want, key=repr)
+    assert "SortAggregate" not in result.snapshot._jdf.queryExecution().executedPlan().toString()
+
+
+def by_contact(stored, files):
+    """Holdings, file after file: a new key is inserted with all its rows, a known one takes the last row's contact."""
+    state, actions = [list(r) for r in stored], []
+    for _, rows in files:
+        known = {r[0] for r in state if r[0] is not None}
+        for k, v, note in rows:
+            actions.append("update" if k in known else "insert")
+        winner = {k: note for k, _, note in rows if k in known}
+        for r in state:
+            if r[0] in winner:
+                r[2] = winner[r[0]]
+        state += [[k, v, note] for k, v, note in rows if k not in known]
+    return sorted(map(tuple, state), key=repr), actions
+
+
+@quick
+@given(versions, st.lists(versions, min_size=1, max_size=4), st.booleans())
+def test_holdings_files_in_one_pass_equal_files_one_by_one(spark, stored, waves, small):
+    kept = [(k, v, "old") for k, v in stored]
+    files = [(f"f{i}", [(k, v, f"{i}.{j}") for j, (k, v) in enumerate(rows)]) for i, rows in enumerate(waves)]
+    state, actions = by_contact(kept, files)
+    target = spark.createDataFrame([(*r, "seed") for r in kept], "k string, v long, note string, file_path string")
+    flat = [(n, k, v, note, name) for n, (name, (k, v, note)) in enumerate((name, r) for name, rows in files for r in rows)]
+    source = spark.createDataFrame(flat, "pos long, k string, v long, note string, file_path string").repartition(3)
+    result = merge.contact_only(target, source, ["k"], ["note"], ["pos"], small_source=small, many_files=True)
+    assert as_set(result.snapshot, "k", "v", "note") == state
+    assert [r["action"] for r in result.actions.orderBy("pos").collect()] == actions
