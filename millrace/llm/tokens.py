@@ -229,6 +229,7 @@ def word_counts(key: str, file: str) -> WordCounts:
     """The counts of this worker, kept from task to task of one query."""
     if key not in _word_counts:
         _word_counts.clear()
+        pa.default_memory_pool().release_unused()  # what this worker held for the stages before
         if file not in _loaded:
             _loaded[file] = load(file)
         _word_counts[key] = WordCounts(_loaded[file])
