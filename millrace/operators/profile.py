@@ -46,6 +46,10 @@ def column_sketches(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def merged_profile(sketches: DataFrame, limit: float = 0.5) -> DataFrame:
-    """The profile (column_name, rows, distinct_values, ratio, low) of all groups of some sketches together."""
+    """The profile (column_name, rows, distinct_values, ratio, low) of all groups of some sketches together.
+
+    A sketch that was never united is estimated from more than its registers; united with itself it is not, so the
+    estimate is the same whether the rows came as one group or as many.
+    """
     united = sketches.groupBy("column_name").agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch").alias("sketch"))
-    return united.select("column_name", "rows", *_rated(F.hll_sketch_estimate("sketch"), F.col("rows"), limit))
+    return united.select("column_name", "rows", *_rated(F.hll_sketch_estimate(F.hll_union("sketch", "sketch")), F.col("rows"), limit))
