@@ -52,7 +52,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("shape", [(2048, 64), (16, 4), (7, 1), (64, 2)])
+@pytest.mark.parametrize("shape", [(2048, 64), (16, 4), (7, 1)])
 def test_against_brute_force(spark, documents, clashing, shape):
     settings = divergence.Settings(block_terms=shape[0], band_groups=shape[1], slice_bytes=2_000, top_terms=20)
     got = divergence.audit(spark, clashing(documents(rows())), settings).collect()
