@@ -1,15 +1,16 @@
 """Quality rules as a ledger: every rule is evaluated once, policies are masks over its failure bits.
 
-``ledger`` reads each text once and stores the measurements and one bit per failed rule. ``apply_policy`` decides
-from the bits alone, so a new policy version never reads a text again. ``ablation`` counts, for every policy and
-rule, what the policy rejects, what the rule alone is to blame for, and what is left without it.
+``ledger`` reads each text once, and gives the measurements and one bit per failed rule; ``store`` writes them to the
+shared folder. ``apply_policy`` and ``verdicts`` decide from the bits alone, so a new policy version never reads a text
+again. ``ablation`` counts, for every policy and rule, what the policy rejects, what the rule alone is to blame for,
+and what is left without it.
 
 All of it is Spark expressions on one row: no shuffle but for the counts of an ablation, which are combined before
 it, and no Python. Repeated three-word windows come from sorting one 64-bit number per window (a hash above, the
 position below) and comparing neighbours, first by hash, then word by word.
 
 Defined cases: a null or blank text has no word, all measurements 0, and fails ``few_words``. Repeated rows are
-judged one by one. An empty table gives an empty ledger. Columns of the input other than the id and the text are
+judged one by one. An empty table gives an empty ledger and ablation. Columns of the input other than the id and the text are
 not read; ``keep`` returns them as they are, whatever their names.
 """
 
@@ -17,10 +18,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.text import BLANKS, words
+from millrace.llm.text import BLANKS, land, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -108,6 +109,11 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return _measured(slim, "text").select("doc_id", *MEASURES).withColumn("fail_bits", _bits())
 
 
+def store(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The ledger as a written table: policies and ablations after it read bits and measurements, never texts."""
+    return land(spark, ledger(docs, doc_id, text), "quality-ledger")
+
+
 def policy(version: str) -> Policy:
     return next(p for p in POLICIES if p.version == version)
 
@@ -121,6 +127,11 @@ def apply_policy(entries: DataFrame, version: str = PRODUCTION) -> DataFrame:
     return entries.withColumns({"base_failed": ~passes(F.col("fail_bits"), "base"), "kept": passes(F.col("fail_bits"), version)})
 
 
+def verdicts(entries: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
+    """Ledger rows with ``kept_`` and the version, for every policy."""
+    return entries.withColumns({f"kept_{p.version}": passes(F.col("fail_bits"), p.version) for p in policies})
+
+
 def ablation(entries: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
     """For each policy version and each of its rules: ``n_docs``, ``n_rejected``, ``n_failed`` (documents that fail
     the rule), ``n_alone`` (those that only this rule rejects: they come back without it), ``kept_without``.

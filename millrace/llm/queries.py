@@ -12,7 +12,7 @@ __all__ = ["QUERIES", "SQL"]
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-QUALITY_SQL = rf"""
+LEDGER_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM documents
 ), g AS (
@@ -42,21 +42,46 @@ WITH d AS (
     + CASE WHEN 10 * n_symbols > n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits
   FROM m
 )
+"""
+
+QUALITY_SQL = f"""
+{LEDGER_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
-  (fail_bits & 63) = 0 AS kept, n_lines, fail_bits
+  (fail_bits & 63) = 0 AS kept, n_lines, fail_bits, (fail_bits & 3) = 0 AS kept_base, (fail_bits & 63) = 0 AS kept_v1,
+  (fail_bits & 123) = 0 AS kept_v2_strict
 FROM b
 """
 
+ABLATION_SQL = f"""
+{LEDGER_SQL}, r AS (
+  SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('many_symbols', 4), ('repeated_lines', 8),
+    ('short_words', 16), ('long_words', 32), ('any_symbols', 64)) AS t(rule, bit)
+), v AS (
+  SELECT * FROM (VALUES ('base', 3), ('v1', 63), ('v2_strict', 123)) AS t(version, bits)
+)
+SELECT version, rule, count(*)::BIGINT AS n_docs, count_if(fail_bits & bits <> 0)::BIGINT AS n_rejected,
+  count_if(fail_bits & bit <> 0)::BIGINT AS n_failed, count_if(fail_bits & bits = bit)::BIGINT AS n_alone,
+  count_if(fail_bits & (bits - bit) = 0)::BIGINT AS kept_without
+FROM b, r, v WHERE bits & bit <> 0 GROUP BY version, rule
+"""
+
 
 @query("op4_quality_rules", QUALITY_SQL)
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's measurements and failure bits, and the verdict of the production policy."""
-    entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
-    return quality_rules.apply_policy(entries).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits"
+    """Every document's measurements and failure bits, and the verdicts of all policies, from the stored ledger."""
+    entries = quality_rules.store(spark, table(spark, sf_dir, "documents"))
+    return quality_rules.verdicts(quality_rules.apply_policy(entries)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits",
+        *[f"kept_{p.version}" for p in quality_rules.POLICIES],
     )
 
 
+@query("quality_rules_ablation", ABLATION_SQL)
+def quality_rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every policy would keep without each of its rules, over the whole table."""
+    return quality_rules.ablation(quality_rules.store(spark, table(spark, sf_dir, "documents")))
+
+
 MIX_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size, md5(concat_ws('|', doc_id::VARCHAR, text)) AS h FROM documents

@@ -48,6 +48,19 @@ def test_policies_and_ablation(documents):
         assert r["kept_without"] == sum(b & without == 0 for b in bits)
 
 
+def test_stored_ledger(spark, documents):
+    clean = " ".join(f"word{i}" for i in range(80))
+    df = documents([(0, clean), (0, clean), (1, "short"), (None, clean + " #" * 10), (2, None)])
+    entries = q.store(spark, df)
+    assert entries.inputFiles() and not entries.where("false").count()
+    got = q.verdicts(entries).collect()
+    assert sorted(map(str, got)) == sorted(map(str, q.verdicts(q.ledger(df)).collect()))
+    for r in got:
+        assert [r[f"kept_{p.version}"] for p in q.POLICIES] == [r["fail_bits"] & q.mask(p.rules) == 0 for p in q.POLICIES]
+    assert [(r["kept_v1"], r["kept_v2_strict"]) for r in got if r["doc_id"] is None] == [(True, False)]
+    assert q.ablation(q.store(spark, df.where("false"))).count() == 0
+
+
 def test_keep(documents, clashing):
     clean = " ".join(f"word{i}" for i in range(80))
     df = clashing(documents([(0, clean), (0, clean), (1, "short"), (None, clean), (2, None)]))
