@@ -4,25 +4,30 @@ Templates are sorted into size classes by their number of shingles. For a class
 in windows of 2s shingles that start every s shingles, so any stretch of up to s shingles lies whole in one window.
 A window that holds at least ``least`` of a template has a Jaccard similarity of at least
 
-    j = least * t / (2s + t - least * t),   t > s / 2
+    j = least * t / (2s + t - least * t)
 
-with it. With bands of one row, the chance that none of b bands meets is (1 - j) ** b; b is chosen so that this stays
-under ``miss`` for the smallest j of any class. Windows that meet a template in a band are then verified on the words
-themselves: the share of the template's distinct shingles that the window holds.
+with it, t being the template's distinct shingles. With bands of one row, the chance that none of b bands meets is
+(1 - j) ** b; b is chosen so that this stays under ``miss`` for the smallest j of any template. Windows that meet a
+template in a band are then verified on the words themselves: every run of up to s shingles that holds enough of the
+template's distinct shingles, and one with each of its version words, is a stretch. Licenses of a family share most of
+their words, so of stretches that overlap the one with the highest containment counts; stretches apart from each other
+are rows of their own.
 
 Words are lower-cased and freed of punctuation at both ends. One pass in Arrow batches, no shuffle; minima of windows
 come from minima of blocks, so a text costs a few array operations per band whatever its length.
 
-Defined cases: a text that is null or has no word has no match and no row. Of several windows with the same license,
-the one with the highest containment counts, the first if equal. Repeated rows are scanned each. An empty table gives
-an empty result. Other columns are not read.
+Defined cases: a text that is null or has no word has no match and no row. At equal containment the stretch that holds
+more shingles counts, then the shorter, the first, and the license first by name. Repeated rows are scanned each. An
+empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from math import ceil, log, log2
 
 import numpy as np
@@ -45,6 +50,12 @@ TEMPLATES = {
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ),
+    "MIT-0": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so.",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
@@ -52,6 +63,9 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
         'on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     ),
+    "Apache-1.1": (
+        "This product includes software developed by the Apache Software Foundation (http://www.apache.org/).",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -59,22 +73,127 @@ TEMPLATES = {
         "option) any later version.",
     ),
     "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
         "option) any later version.",
     ),
+    "GPL-1.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 1, or (at your option) any later "
+        "version.",
+    ),
+    "LGPL-2.0": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    "GFDL-1.2": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+        "Documentation License, Version 1.2 or any later version published by the Free Software Foundation;",
+    ),
+    "GFDL-1.3": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+        "Documentation License, Version 1.3 or any later version published by the Free Software Foundation;",
+    ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:",
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.",
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission.",
+    ),
+    "BSD-4-Clause": (
+        "All advertising materials mentioning features or use of this software must display the following "
+        "acknowledgement: This product includes software developed by",
+    ),
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted.",
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
+    "PostgreSQL": (
+        "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without "
+        "fee, and without a written agreement is hereby granted, provided that the above copyright notice and this "
+        "paragraph and the following two paragraphs appear in all copies.",
+    ),
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions:",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        'and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, '
+        "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit "
+        "third-parties to whom the Software is furnished to do so, all subject to the following:",
+    ),
+    "MPL-1.1": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not "
+        "use this file except in compliance with the License.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v1.0 which accompanies this distribution",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    "CDDL-1.0": (
+        "The contents of this file are subject to the terms of the Common Development and Distribution License (the "
+        '"License"). You may not use this file except in compliance with the License.',
+    ),
+    "EUPL-1.2": (
+        "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - subsequent "
+        'versions of the EUPL (the "Licence"); You may not use this work except in compliance with the Licence.',
+    ),
+    "Artistic-2.0": (
+        "you can redistribute it and/or modify it under the terms of the Artistic License 2.0.",
+    ),
+    "OFL-1.1": ("This Font Software is licensed under the SIL Open Font License, Version 1.1.",),
+    "AFL-3.0": ("Licensed under the Academic Free License version 3.0",),
+    "CC0-1.0": (
+        "Released under CC0 1.0 Universal.",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty.",
+        "has waived all copyright and related or neighboring rights to this work.",
+    ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -87,9 +206,25 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-3.0": ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.",),
+    "CC-BY-SA-3.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
+#: Words of a template that tell versions of a license apart.
+VERSION = re.compile(r"v?[0-9][0-9.]*")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 #: A window's value in a band where it has no shingle.
 NOTHING = np.uint64((1 << 64) - 1)
@@ -118,11 +253,18 @@ class Template:
     license: str
     number: int
     shingles: frozenset
+    length: int
+
+    @cached_property
+    def versions(self) -> list[frozenset]:
+        """For each version word, the shingles that hold it."""
+        words = sorted({w for g in self.shingles for w in g if VERSION.fullmatch(w)})
+        return [frozenset(g for g in self.shingles if w in g) for w in words]
 
     @property
     def step(self) -> int:
-        """Shingles of the size class: the next power of two."""
-        return 1 << ceil(log2(len(self.shingles)))
+        """Shingles of the size class, repeats included: the next power of two."""
+        return 1 << ceil(log2(self.length))
 
 
 def bands(settings: Settings, templates: list[Template]) -> int:
@@ -140,11 +282,56 @@ def collision(settings: Settings, template: Template, n: int) -> float:
     return 1 - (1 - have / (2 * template.step + len(template.shingles) - have)) ** n
 
 
+@dataclass(frozen=True)
+class Stretch:
+    """A run of words that holds enough of a template."""
+
+    license: str
+    number: int
+    held: int
+    share: float
+    first: int
+    n_words: int
+
+
+def stretches(settings: Settings, template: Template, words: list[str], place: int) -> Iterator[Stretch]:
+    """From every shingle of the template in ``words``: the run of at most ``step`` shingles, up to the last new one.
+
+    A run counts if it holds enough of the template, and a shingle of each of its version words.
+    """
+    hits = [(i, g) for i, g in enumerate(grams(words, settings.words)) if g in template.shingles]
+    size = len(template.shingles)
+    if len({g for _, g in hits}) / size < settings.least:
+        return
+    for n, (first, _) in enumerate(hits):
+        held, last = set(), first
+        for i, g in hits[n : n + template.step]:
+            if i >= first + template.step:
+                break
+            if g not in held:
+                held.add(g)
+                last = i
+        if len(held) / size >= settings.least and all(v & held for v in template.versions):
+            yield Stretch(template.license, template.number, len(held), len(held) / size, place + first, last + settings.words - first)
+
+
+def best(found: Iterable[Stretch]) -> list[Stretch]:
+    """Of stretches that overlap, the one with the highest containment; then the one that holds more, the shorter, the first."""
+    starts: list[int] = []
+    kept: list[Stretch] = []
+    for s in sorted(found, key=lambda s: (-s.share, -s.held, s.n_words, s.first, s.license, s.number)):
+        at = bisect(starts, s.first)
+        if (at == 0 or kept[at - 1].first + kept[at - 1].n_words <= s.first) and (at == len(kept) or s.first + s.n_words <= starts[at]):
+            starts.insert(at, s.first)
+            kept.insert(at, s)
+    return kept
+
+
 class Scanner:
     def __init__(self, settings: Settings, templates: dict[str, tuple[str, ...]]) -> None:
         self.settings = settings
         self.templates = [
-            Template(name, n, frozenset(own))
+            Template(name, n, frozenset(own), len(own))
             for name, texts in templates.items()
             for n, t in enumerate(texts)
             if (own := grams(plain_words(t), settings.words))
@@ -202,8 +389,8 @@ class Scanner:
                         out.add((int(b) * step, int(n)))
         return out
 
-    def scan(self, texts: pa.Array) -> Iterator[tuple[int, str, float, int, int]]:
-        """(text, license, containment, first word, words) of the best window per text and license."""
+    def scan(self, texts: pa.Array) -> Iterator[tuple[int, str, int, float, int, int]]:
+        """(text, license, template, containment, first word, words) of every stretch that is left after ``best``."""
         words, counts = self.words(texts)
         k = self.settings.words
         if len(words) < k:
@@ -211,8 +398,8 @@ class Scanner:
         h = word_hashes(words)
         h = self.joined([h[i : len(h) - k + 1 + i] for i in range(k)])
         ends = np.cumsum(counts)
-        best: dict[tuple[int, str], tuple[float, int, int]] = {}
-        for first, n in sorted(self.candidates(h)):
+        found: dict[int, set[Stretch]] = {}
+        for first, n in self.candidates(h):
             t = self.templates[n]
             stop = min(first + 2 * t.step + k - 1, len(words))
             held = words.slice(first, stop - first)
@@ -222,18 +409,12 @@ class Scanner:
             while at < stop:
                 doc = int(np.searchsorted(ends, at, "right"))
                 end = min(stop, int(ends[doc]))
-                own = names[at - first : end - first]
-                found = [i for i, g in enumerate(grams(own, k)) if g in t.shingles]
-                share = len({tuple(own[i : i + k]) for i in found}) / len(t.shingles)
-                if share >= self.settings.least:
-                    place = at + found[0] - int(ends[doc] - counts[doc])
-                    have = (share, place, found[-1] + k - found[0])
-                    old = best.get((doc, t.license))
-                    if old is None or (-have[0], have[1]) < (-old[0], old[1]):
-                        best[doc, t.license] = have
+                place = at - int(ends[doc] - counts[doc])
+                found.setdefault(doc, set()).update(stretches(self.settings, t, names[at - first : end - first], place))
                 at = end
-        for (doc, name), (share, place, n) in sorted(best.items()):
-            yield doc, name, share, place, n
+        for doc in sorted(found):
+            for s in best(found[doc]):
+                yield doc, s.license, s.number, s.share, s.first, s.n_words
 
     @staticmethod
     def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -255,7 +436,7 @@ def scan(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row per document and license found: doc_id, license, containment, first_word, n_words (of the stretch)."""
+    """One row per document and stretch: doc_id, license, template (its number), containment, first_word, n_words."""
     ship(spark)
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = dict(slim.dtypes)["doc_id"]
@@ -265,16 +446,17 @@ def scan(
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 rows = list(scanner.scan(batch.column(1).slice(a, b - a)))
-                columns = list(zip(*rows, strict=True)) or [(), (), (), (), ()]
+                columns = list(zip(*rows, strict=True)) or [(), (), (), (), (), ()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).take(pa.array(columns[0], pa.int64())),
                         pa.array(columns[1], pa.string()),
-                        pa.array(columns[2], pa.float64()),
-                        pa.array(columns[3], pa.int64()),
+                        pa.array(columns[2], pa.int32()),
+                        pa.array(columns[3], pa.float64()),
                         pa.array(columns[4], pa.int64()),
+                        pa.array(columns[5], pa.int64()),
                     ],
-                    names=["doc_id", "license", "containment", "first_word", "n_words"],
+                    names=["doc_id", "license", "template", "containment", "first_word", "n_words"],
                 )
 
-    return slim.mapInArrow(run, f"doc_id {kind}, license string, containment double, first_word long, n_words long")
+    return slim.mapInArrow(run, f"doc_id {kind}, license string, template int, containment double, first_word long, n_words long")

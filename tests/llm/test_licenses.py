@@ -1,4 +1,5 @@
 import random
+import re
 
 from millrace.llm import licenses as L
 
@@ -6,14 +7,22 @@ SCANNER = L.Scanner(L.PRODUCTION, L.TEMPLATES)
 
 
 def brute(text):
-    """Licenses with a template of which some stretch, as long as its size class, holds enough shingles."""
-    g = L.grams(L.plain_words(text or ""), L.PRODUCTION.words)
-    out = set()
+    """All stretches of a text, each compared with all templates and with each other; (license, first word, words)."""
+    w = L.plain_words(text or "")
+    g = L.grams(w, 3)
+    found = []
     for t in SCANNER.templates:
-        hits = [k for k, x in enumerate(g) if x in t.shingles]
-        if any(len({g[k] for k in hits if a <= k < a + t.step}) >= L.PRODUCTION.least * len(t.shingles) for a in hits):
-            out.add(t.license)
-    return out
+        versions = {x for s in t.shingles for x in s if re.fullmatch(r"v?[0-9][0-9.]*", x)}
+        for a in [i for i, x in enumerate(g) if x in t.shingles]:
+            held = set(g[a : a + t.step]) & t.shingles
+            if len(held) / len(t.shingles) >= 0.8 and versions <= {x for s in held for x in s}:
+                n = next(n for n in range(1, t.step + 1) if held <= set(g[a : a + n]))
+                found.append((-len(held) / len(t.shingles), -len(held), n + 2, a, t.license, t.number))
+    kept = []
+    for f in sorted(found):
+        if all(f[3] + f[2] <= o[3] or o[3] + o[2] <= f[3] for o in kept):
+            kept.append(f)
+    return sorted((f[4], f[3], f[2]) for f in kept)
 
 
 def texts():
@@ -36,15 +45,29 @@ def texts():
 
 def test_against_brute_force(spark, documents, clashing):
     rows = list(enumerate(texts()))
-    got = L.scan(spark, clashing(documents(rows)))
     found = {}
-    for r in got.collect():
-        found.setdefault(r["doc_id"], set()).add(r["license"])
-        assert r["containment"] >= L.PRODUCTION.least and r["n_words"] > 0
-    assert got.count() == sum(map(len, found.values()))
+    for r in L.scan(spark, clashing(documents(rows))).collect():
+        found.setdefault(r["doc_id"], []).append((r["license"], r["first_word"], r["n_words"]))
+        assert r["containment"] >= L.PRODUCTION.least
     for i, t in rows:
-        assert brute(t) <= found.get(i, set())
-    assert all(not found.get(i) for i, t in rows[-5:])
+        assert sorted(found.get(i, [])) == brute(t)
+    assert all(i not in found for i, _ in rows[-5:])
+
+
+def test_every_notice_is_its_own_license(spark, documents):
+    cases = [(name, t) for name, own in L.TEMPLATES.items() for t in own]
+    got = L.scan(spark, documents([(i, f"some words before. {t} And some words after.") for i, (_, t) in enumerate(cases)])).collect()
+    assert sorted((r["doc_id"], r["license"], r["containment"]) for r in got) == [(i, name, 1.0) for i, (name, _) in enumerate(cases)]
+    assert len(L.TEMPLATES) >= 25
+
+
+def test_every_separate_stretch(spark, documents):
+    mit, lesser = L.TEMPLATES["MIT"][2], L.TEMPLATES["LGPL-2.1"][0]
+    near = " ".join(f"w{i}" for i in range(600))
+    rows = [(1, f"{mit} {near} {mit}"), (2, f"{mit} {mit} {lesser}"), (3, lesser.replace("2.1", "7")), (4, "Licensed under the Apache License, Version 1.1.")]
+    got = sorted((r["doc_id"], r["first_word"], r["license"]) for r in L.scan(spark, documents(rows)).collect())
+    n = len(L.plain_words(mit))
+    assert got == [(1, 0, "MIT"), (1, n + 600, "MIT"), (2, 0, "MIT"), (2, n, "MIT"), (2, 2 * n, "LGPL-2.1")]
 
 
 def test_places(spark, documents):
