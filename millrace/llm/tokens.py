@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.shingles import lowered, slices
-from millrace.llm.text import BLANKS, ship
+from millrace.llm.text import BLANKS, held, ship
 
 BLANK = frozenset(" \t\n\x0b\x0c\r")
 
@@ -170,7 +170,7 @@ class WordCounts:
     its pieces in lower case, and only pieces not met before are encoded.
     """
 
-    KNOWN_WORDS, LONGEST_KEPT, BATCH = 1_000_000, 32, 4_096
+    KNOWN_WORDS, LONGEST_KEPT, BATCH = 300_000, 32, 4_096
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
@@ -222,18 +222,15 @@ def counted_words(texts: pa.Array, counts: WordCounts) -> tuple[np.ndarray, np.n
     return counts(each.dictionary.to_pylist())[of], real, owner
 
 
-_word_counts: dict[str, WordCounts] = {}
-
-
 def word_counts(key: str, file: str) -> WordCounts:
     """The counts of this worker, kept from task to task of one query."""
-    if key not in _word_counts:
-        _word_counts.clear()
-        pa.default_memory_pool().release_unused()  # what this worker held for the stages before
+
+    def make() -> WordCounts:
         if file not in _loaded:
             _loaded[file] = load(file)
-        _word_counts[key] = WordCounts(_loaded[file])
-    return _word_counts[key]
+        return WordCounts(_loaded[file])
+
+    return held(key, make)
 
 
 def count_tokens(
