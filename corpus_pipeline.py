@@ -14,9 +14,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose language can't be told or was not learned; learns from those not held out."""
+    """Drops the documents whose language can't be told or was not learned; learns from all those not held out."""
     learn = ~langid.held_out()
-    model = langid.with_bounds(spark, docs, langid.fit(spark, docs, learn=learn), learn=learn)
+    model = langid.with_bounds(spark, docs, langid.fit(spark, docs, learn=learn, settings=langid.WHOLE), learn=learn)
     return langid.keep(spark, docs, model)
 
 

@@ -4,8 +4,8 @@ A language is a probability for every piece of a fixed public vocabulary. The pr
 all ways to cut it into pieces, by the forward algorithm; a text is as likely as its words. Piece probabilities are
 learned by expectation maximisation over the same sum: every segmentation counts as much as it is likely.
 
-``fit`` counts the words of a bounded sample (``Settings.docs_per_lang`` documents a language are expected, picked by
-a hash of the id) and runs the E-step as a Spark job over the distinct words; the driver holds one number per piece
+``fit`` counts the words of all rows (``WHOLE``), or of a bounded sample (``Settings.docs_per_lang`` documents a language
+are expected, picked by a hash of the id), and runs the E-step as a Spark job over the distinct words; the driver holds one number per piece
 and language. ``predict`` and ``keep`` read whole texts in Arrow batches: a batch's words are reduced to distinct
 ones, and words not met before by this worker are scored together, one array operation per pair of positions.
 
@@ -16,7 +16,7 @@ language by code point. The score is the posterior of the language under equal p
 by one. Other columns are never read by a prediction; ``keep`` hands them on.
 
 The posterior of a long text is 1 whatever it says, so ``keep`` also holds a text's mean log-likelihood a character
-against the bound of its language (``with_bounds``): the median of the texts that were learned from, less ``margins``
+against the bound of its language (``with_bounds``): the median of all texts that may be learned from, less ``margins``
 times the distance at which the ``lowest`` share of all of them lies below their medians, ``least_margin`` at least.
 A text in a language that was not learned, or in none, lies far below.
 """
@@ -34,7 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.text import land, ship
+from millrace.llm.text import held, land, ship
+from millrace.operators.position import POSITION, land_in_order
 
 UNDETERMINED = "und"
 #: Longest run of characters scored as one word, with the mark of its start.
@@ -46,9 +47,10 @@ SLICE_BYTES = 4 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    """``docs_per_lang`` bounds the sample that is learned from; everything else is done over all rows."""
+    """``docs_per_lang`` bounds the sample that ``fit`` learns from (None: it learns from all rows); everything else is
+    done over all rows."""
 
-    docs_per_lang: int = 300
+    docs_per_lang: int | None = 300
     rounds: int = 3
     smoothing: float = 0.05
     unknown: float = 1e-9
@@ -60,6 +62,8 @@ class Settings:
 
 
 PRODUCTION = Settings()
+#: Learns from every row that may be learned from.
+WHOLE = Settings(docs_per_lang=None)
 
 
 def vocabulary(path: str | None = None) -> list[str]:
@@ -192,17 +196,21 @@ class Model:
     bounds: tuple[float, ...] = ()  # least mean log-likelihood a character, per language
 
 
-def _sample(docs: DataFrame, learn: Column | None, settings: Settings, doc_id: str, text: str, lang: str) -> tuple[DataFrame, tuple[str, ...]]:
-    """(lang, text) that is learned from, and the languages."""
+def _known(docs: DataFrame, learn: Column | None, doc_id: str, text: str, lang: str) -> DataFrame:
+    """(lang, pick, text) of every row that may be learned from."""
     known = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     known = known if learn is None else known.where(learn)
-    named = known.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.xxhash64(F.col(f"`{doc_id}`").cast("string")).alias("pick"), F.col(f"`{text}`").alias("text"))
-    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    return known.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.xxhash64(F.col(f"`{doc_id}`").cast("string")).alias("pick"), F.col(f"`{text}`").alias("text"))
+
+
+def _learned_from(known: DataFrame, settings: Settings) -> tuple[DataFrame, tuple[str, ...]]:
+    """(lang, text) that is learned from, and the languages."""
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     languages = tuple(sorted(sizes))
-    if not languages:
-        return named.select("lang", "text"), languages
+    if not languages or settings.docs_per_lang is None:
+        return known.select("lang", "text"), languages
     share = F.element_at(F.map_from_arrays(F.array(*map(F.lit, languages)), F.array(*[F.lit(min(1.0, settings.docs_per_lang / sizes[x])) for x in languages])), F.col("lang"))
-    return named.where(F.pmod("pick", F.lit(1_000_003)) < share * 1_000_003).select("lang", "text"), languages
+    return known.where(F.pmod("pick", F.lit(1_000_003)) < share * 1_000_003).select("lang", "text"), languages
 
 
 def fit(
@@ -218,18 +226,20 @@ def fit(
     """Learns from the rows where ``learn`` holds and neither text nor language is null."""
     ship(spark)
     pieces = vocabulary(vocabulary_path)
-    sample, languages = _sample(docs, learn, settings, doc_id, text, lang)
+    sample, languages = _learned_from(_known(docs, learn, doc_id, text, lang), settings)
     if not languages:
         return Model((), tuple(pieces), np.zeros((len(pieces), 0)), settings)
     split = F.split(F.lower("text"), r"\s+")
     counted = sample.select("lang", F.explode(split).alias("word")).where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
-    counted = land(spark, counted.coalesce(8), "lang-words")
+    if settings.docs_per_lang is not None:
+        counted = counted.coalesce(8)
+    counted = land(spark, counted, "lang-words")
     probs = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     for _ in range(settings.rounds):
-        held = spark.sparkContext.broadcast((pieces, languages, probs, settings.unknown))
-        sums = counted.mapInPandas(_e_step(held), "lang int, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+        shared = spark.sparkContext.broadcast((pieces, languages, probs, settings.unknown))
+        sums = counted.mapInPandas(_e_step(shared), "lang int, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
         got = sums.toPandas()  # at most one number per piece and language
-        held.unpersist()
+        shared.unpersist()
         counts = np.zeros_like(probs)
         counts[got["piece"].to_numpy(int), got["lang"].to_numpy(int)] = got["n"].to_numpy(float)
         counts += settings.smoothing
@@ -237,29 +247,23 @@ def fit(
     return Model(languages, tuple(pieces), probs, settings)
 
 
-_lattices: dict[int, Lattice] = {}
-
-
-def _lattice(key: int, pieces) -> Lattice:
+def _lattice(pieces) -> Lattice:
     """The lattice of this worker, built once per vocabulary."""
-    if key not in _lattices:
-        _lattices.clear()
-        _lattices[key] = Lattice(list(pieces))
-    return _lattices[key]
+    return held(f"lattice {hash(tuple(pieces))}", lambda: Lattice(list(pieces)))
 
 
-def _e_step(held):
+def _e_step(model):
     def run(frames):
         import pandas as pd
 
-        pieces, languages, probs, unknown = held.value
-        lattice = _lattice(hash(tuple(pieces[:100])) ^ len(pieces), pieces)
+        pieces, languages, probs, unknown = model.value
+        lattice = _lattice(pieces)
         total = np.zeros((len(pieces), len(languages)))
-        frame = pd.concat([pd.DataFrame({"lang": [], "word": [], "n": []}), *frames])  # of a bounded sample
-        for k, name in enumerate(languages):
-            own = frame[frame["lang"] == name]
-            if len(own):
-                total[:, k] += expected_counts(lattice, own["word"].tolist(), own["n"].to_numpy(float), probs[:, k], unknown)
+        for frame in frames:
+            for k, name in enumerate(languages):
+                own = frame[frame["lang"] == name]
+                if len(own):
+                    total[:, k] += expected_counts(lattice, own["word"].tolist(), own["n"].to_numpy(float), probs[:, k], unknown)
         piece, lang = np.nonzero(total)
         yield pd.DataFrame({"lang": lang.astype("int32"), "piece": piece.astype("int32"), "n": total[piece, lang]})
 
@@ -322,15 +326,9 @@ class Scorer:
         return np.where(letters, top, -1), np.where(letters, np.clip(posterior, 0.0, 1.0), 0.0), mean
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, held) -> Scorer:
+def _scorer(key: str, broadcast) -> Scorer:
     """The scorer of this worker, kept from task to task."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(held.value)
-    return _scorers[key]
+    return held(key, lambda: Scorer(broadcast.value))
 
 
 def _shared(spark: SparkSession, model: Model):
@@ -340,13 +338,13 @@ def _shared(spark: SparkSession, model: Model):
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score."""
-    key, held = _shared(spark, model)
+    key, shared = _shared(spark, model)
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = dict(slim.dtypes)["doc_id"]
 
     def run(batches):
-        score = _scorer(key, held)
-        names = pa.array([*held.value.languages, UNDETERMINED], pa.string())
+        score = _scorer(key, shared)
+        names = pa.array([*shared.value.languages, UNDETERMINED], pa.string())
         for b in batches:
             best, values, _ = score(b.column(1))
             yield pa.RecordBatch.from_arrays(
@@ -357,42 +355,75 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "d
     return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def quantiles(values: DataFrame, group: str, value: str, share: float) -> dict[int, float]:
+    """The quantile of every group, exact, between the two values around it as near as it lies to each.
+
+    The values are sorted in ranges and written; a value's rank is its place in its range, behind the ranges before.
+    Two values a group come to the driver.
+    """
+    ordered = land_in_order(values.select(group, value), [group, value], "quantiles")
+    split, row = F.shiftright(POSITION, 40), F.col(POSITION).bitwiseAND(F.lit((1 << 40) - 1))
+    sizes = ordered.groupBy(split.alias("split")).agg(F.count("*").alias("n")).orderBy("split").collect()  # one row a range
+    before, at = {}, 0
+    for r in sizes:
+        before[r["split"]], at = at, at + r["n"]
+    first, wanted = 0, {}
+    for r in ordered.groupBy(group).agg(F.count("*").alias("n")).orderBy(group).collect():  # one row a group
+        place = (r["n"] - 1) * share
+        low = int(place)
+        wanted[r[group]] = (first + low, first + min(low + 1, r["n"] - 1), place - low)
+        first += r["n"]
+    if not wanted:
+        return {}
+    spots = {p for low, high, _ in wanted.values() for p in (low, high)}
+    places = [(k, p - start) for p in spots for k, start in [max(((k, s) for k, s in before.items() if s <= p), key=lambda x: (x[1], x[0]))]]
+    spark = values.sparkSession
+    asked = spark.createDataFrame(places, "split long, row long")
+    found = ordered.select(split.alias("split"), row.alias("row"), value).join(F.broadcast(asked), ["split", "row"]).collect()
+    got = {before[r["split"]] + r["row"]: r[value] for r in found}
+    return {g: got[low] + (got[high] - got[low]) * part for g, (low, high, part) in wanted.items()}
+
+
 def with_bounds(
     spark: SparkSession, docs: DataFrame, model: Model, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> Model:
-    """``model`` with a bound per language, from the rows that ``fit`` learned from and whose language it finds."""
-    sample, languages = _sample(docs, learn, model.settings, doc_id, text, lang)
-    if not model.languages or languages != model.languages:
+    """``model`` with a bound per language, from every row that may be learned from and whose language it finds."""
+    if not model.languages:
         return model
-    key, held = _shared(spark, model)
+    key, shared = _shared(spark, model)
 
     def run(batches):
-        score = _scorer(key, held)
-        names = np.array([*held.value.languages, UNDETERMINED], dtype=object)
+        score = _scorer(key, shared)
+        names = np.array([*shared.value.languages, UNDETERMINED], dtype=object)
         for b in batches:
             best, _, mean = score(b.column(1))
-            found = names[best] == b.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(best[found]), pa.array(mean[found])], names=["lang", "mean"])
+            own = names[best] == b.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(best[own]), pa.array(mean[own])], names=["lang", "mean"])
+            pa.default_memory_pool().release_unused()
 
-    got = sample.mapInArrow(run, "lang long, mean double").toPandas()  # two numbers a text of the bounded sample
-    held.unpersist()
-    if got.empty:
+    found = _known(docs, learn, doc_id, text, lang).select("lang", "text").mapInArrow(run, "lang long, mean double")
+    found = land(spark, found, "lang-means")  # two numbers a row
+    shared.unpersist()
+    middle = quantiles(found, "lang", "mean", 0.5)
+    if not middle:
         return model
-    middle = got.groupby("lang")["mean"].median()
-    below = (got["lang"].map(middle) - got["mean"]).quantile(1 - model.settings.lowest)
+    middles = F.element_at(F.create_map(*[F.lit(x) for k, m in middle.items() for x in (k, m)]), F.col("lang"))
+    distances = found.select(F.lit(0).cast("long").alias("all"), (middles - F.col("mean")).alias("below"))
+    below = quantiles(distances, "all", "below", 1 - model.settings.lowest)[0]
     margin = max(model.settings.least_margin, model.settings.margins * below)
-    return replace(model, bounds=tuple(float(middle.get(k, middle.median())) - margin for k in range(len(languages))))
+    other = float(np.median(list(middle.values())))
+    return replace(model, bounds=tuple(float(middle.get(k, other)) - margin for k in range(len(model.languages))))
 
 
 def keep(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose language is found with at least ``least_score`` and that are as likely as the model's bound for
     it, if it has bounds; with the columns they came with."""
-    key, held = _shared(spark, model)
+    key, shared = _shared(spark, model)
     at, names = docs.columns.index(text), docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches):
-        score, own = _scorer(key, held), held.value
+        score, own = _scorer(key, shared), shared.value
         least = np.array([*(own.bounds or [-np.inf] * len(own.languages)), np.inf])  # the last for undetermined
         for b in batches:
             best, values, mean = score(b.column(at))

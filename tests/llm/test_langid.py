@@ -1,7 +1,10 @@
 import os
+from dataclasses import replace
 from math import log
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from millrace.llm import langid
@@ -112,6 +115,23 @@ def test_a_worker_that_forgets_words(spark, documents):
     assert a == b
 
 
+def test_bounds_and_model_come_from_all_rows(spark, documents):
+    """A bound of two documents a language is for the sample that ``fit`` may learn from, never for thresholds."""
+    rows = [(i, t * (1 + i % 3) + f" {'zq' * (i % 7)}", lang) for i, t, lang in corpus()]
+    df = documents([*rows, (990, None, "en"), (991, "the people", None)])
+    few = langid.Settings(docs_per_lang=2, lowest=0.1, least_margin=0.0)
+    model = langid.fit(spark, df, settings=langid.Settings(docs_per_lang=None, lowest=0.1, least_margin=0.0))
+    usual = langid.fit(spark, df)  # no language has more rows than its sample
+    assert np.allclose(model.probs, usual.probs, atol=1e-9)
+    best, _, mean = langid.Scorer(model)(pa.array([t for _, t, _ in rows]))
+    own = best == np.array([model.languages.index(lang) for *_, lang in rows])
+    got = pd.DataFrame({"lang": best[own], "mean": mean[own]})
+    middle = got.groupby("lang")["mean"].median()
+    margin = few.margins * (got["lang"].map(middle) - got["mean"]).quantile(0.9)
+    bounded = langid.with_bounds(spark, df, replace(model, settings=few))
+    assert np.allclose(bounded.bounds, [middle[k] - margin for k in range(len(model.languages))], rtol=0, atol=1e-9)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_held_out_accuracy(spark):
     from millrace.llm.queries import QUERIES
