@@ -19,7 +19,7 @@ from millrace.catalog.feedrows import (
 from millrace.functions.clean import clean_numeric, clean_text
 from millrace.operators import ledger, match, merge, report
 from millrace.operators.dedup import keep_first
-from millrace.operators.position import POSITION, land_in_order
+from millrace.operators.position import POSITION, land, land_in_order
 from millrace.operators.validate import split_valid
 
 PARTIAL = ["amount", "traddate", "remarks", "updated_on"]
@@ -279,7 +279,7 @@ LINE_TARGET_SQL = f"""SELECT {", ".join(LINE_COLUMNS)} FROM (SELECT *, row_numbe
 def merge_last_wins(spark, sf_dir):
     source = S.shaped(spark, sf_dir, "lineitem", LINE_SOURCE)
     seed = S.shaped(spark, sf_dir, "lineitem", LINE_TARGET)
-    target = keep_first(seed, ["folio", "line"], LINE_ORDER).select(LINE_COLUMNS)
+    target = land(keep_first(seed, ["folio", "line"], LINE_ORDER).select(LINE_COLUMNS), "target")
     return merge.last_wins(
         target,
         land_in_order(source, LINE_ORDER, "lines"),
