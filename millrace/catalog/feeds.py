@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import query, table
+from millrace.operators.position import land, no_rows
 from millrace.plans.feed import plan_feed, stage
 from millrace.plans.registry import FEEDS
-from millrace.session import scratch_path
 
 DAYS = {1: "2024-01-01", 2: "2024-02-01"}
 
@@ -58,20 +58,13 @@ class Shape:
         return [*self.columns, "file_path", "created_at", "updated_at"]
 
 
-def landed(df: DataFrame) -> DataFrame:
-    """The frame as a table on the shared folder, as a feed run lands its rows and its snapshot."""
-    path = scratch_path(df.sparkSession, "landed")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run_waves(shape: Shape, spark, sf_dir: str) -> DataFrame:
     spec = FEEDS[shape.code]
-    target = spark.createDataFrame([], spec.schema)
+    target = no_rows(spark, spec.schema)
     for wave, day in DAYS.items():
         staged = stage(spec, shape.raw(spark, sf_dir, wave), f"{day} 06:00:00")
-        plan = plan_feed(spec, landed(staged), target)
-        target = landed(plan.result.snapshot) if wave == 1 else plan.result.snapshot
+        plan = plan_feed(spec, land(staged, "landed"), target)
+        target = land(plan.result.snapshot, "landed") if wave == 1 else plan.result.snapshot
     return target.select(
         *shape.columns,
         "file_path",
