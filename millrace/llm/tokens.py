@@ -45,10 +45,24 @@ SPECIAL = "<|"
 #: that takes letters in.
 MARKS = frozenset('!"#$%&()*+,-./:;=>?@[]_{}~、。，．！？；：')
 
-# Fixed value: the pattern by which the public tokenizer splits a text into pieces.
+# How the public tokenizer normalizes a text and splits it into pieces.
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for ASCII without white space, in lower case.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": PIECE_PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: ASCII without control characters and space.
+PRINTED = "".join(map(chr, range(0x21, 0x7F)))
+#: Letters beyond ASCII (Latin-1, Latin Extended-A, Cyrillic) that NFC leaves alone among each other and ASCII, and whose
+#: lower case is one letter.
+LETTERS = "".join(c for c in map(chr, [*range(0xC0, 0x180), *range(0x400, 0x460)]) if c.isalpha() and len(c.lower()) == 1)
+PLAIN = re.compile(f"[{re.escape(PRINTED)}{LETTERS}]+")
+#: The pattern for words of these, in lower case.
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^a-z0-9{LETTERS}]+")
+
+#: Where a letter is followed by a mark or a digit: whatever stands around, a piece ends between them.
+PART_END = f"([a-zA-Z{LETTERS}])([!-@[-`{{-~])"
 
 
 @dataclass(frozen=True)
@@ -164,10 +178,11 @@ _loaded: dict[str, object] = {}
 
 
 class WordCounts:
-    """Tokens of single words; keeps what it has met, up to ``KNOWN_WORDS``, then starts afresh.
+    """Tokens of single words; keeps what it has met, at most ``KNOWN_WORDS``, and of those what was met last.
 
-    Words are few, their spellings many: where the tokenizer's pattern is the known one, an ASCII word is the sum of
-    its pieces in lower case, and only pieces not met before are encoded.
+    Words are few, their spellings many: where the tokenizer's normalizer and pattern are the known ones, a word of
+    ``PRINTED`` and ``LETTERS`` is the sum of its pieces in lower case, and a piece not met before goes straight to the
+    tokenizer's model, spelled as its pre-tokenizer spells it. Any other word is encoded whole.
     """
 
     KNOWN_WORDS, LONGEST_KEPT, BATCH = 300_000, 32, 4_096
@@ -175,51 +190,87 @@ class WordCounts:
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}  # what was known before ``known`` was last full
         part = lambda p: json.loads(p.__getstate__()) if p is not None else {}
-        first = part(tokenizer.pre_tokenizer).get("pretokenizers", [{}])[0]
-        lowers = {"type": "Lowercase"} in part(tokenizer.normalizer).get("normalizers", [])
-        self.splits = lowers and first.get("pattern") == {"Regex": PIECE_PATTERN}
-
-    def pieces(self, word: str) -> list[str]:
-        if not self.splits or not word.isascii() or SPECIAL in word:
-            return [word]
-        return [word.lower()] if word.isalpha() else PIECES.findall(word.lower())
+        self.splits = part(tokenizer.normalizer).get("normalizers") == NORMALIZERS and part(tokenizer.pre_tokenizer).get("pretokenizers") == SPLITTERS
+        if self.splits:
+            spell = tokenizer.pre_tokenizer.pre_tokenize_str
+            self.model = tokenizer.model
+            self.spelled = str.maketrans({c: spell(c)[0][0] for c in PRINTED + LETTERS if c == c.lower()})
+
+    def pieces(self, word: str) -> list[str] | None:
+        """The pieces of a word, if it is known how the tokenizer tells them apart."""
+        if not self.splits or SPECIAL in word or not (word.isprintable() if word.isascii() else PLAIN.fullmatch(word)):
+            return None
+        word = word.lower()
+        return [word] if word.isalpha() else PIECES.findall(word)
+
+    def keep(self, word: str, n: int) -> int:
+        if len(word) <= self.LONGEST_KEPT:
+            if 2 * len(self.known) >= self.KNOWN_WORDS:
+                self.known, self.older = {}, self.known
+            self.known[word] = n
+        return n
+
+    def encoded(self, piece: str) -> int:
+        if len(piece) > self.BATCH:
+            return len(self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0])
+        return len(self.model.tokenize(piece if piece.isascii() else piece.translate(self.spelled)))
+
+    def piece(self, piece: str) -> int:
+        n = self.known.get(piece)
+        if n is None:
+            n = self.older.get(piece)
+            n = self.keep(piece, self.encoded(piece) if n is None else n)
+        return n
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """Counts of distinct words."""
-        known = self.known
-        out = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        new = np.flatnonzero(out < 0).tolist()
-        split = [self.pieces(words[k]) for k in new]
-        if len(known) + len(new) > self.KNOWN_WORDS:
-            known.clear()
-        met: dict[str, int] = {}
-        fresh = list({p for parts in split for p in parts if p not in known})
-        for a in range(0, len(fresh), self.BATCH):
-            part = fresh[a : a + self.BATCH]
-            got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            met.update(zip(part, map(len, got), strict=True))
-        known.update((p, n) for p, n in met.items() if len(p) <= self.LONGEST_KEPT)
-        for k, parts in zip(new, split, strict=True):
-            n = sum(known[p] if p in known else met[p] for p in parts)
-            out[k] = n
-            if len(words[k]) <= self.LONGEST_KEPT:
-                known[words[k]] = n
+        out = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        whole = []
+        for k in np.flatnonzero(out < 0).tolist():
+            word = words[k]
+            n = self.older.get(word)
+            if n is None:
+                parts = self.pieces(word)
+                if parts is None:
+                    whole.append(k)
+                    continue
+                n = self.encoded(word) if parts == [word] else sum(map(self.piece, parts))
+            out[k] = self.keep(word, n)
+        for a in range(0, len(whole), self.BATCH):
+            part = whole[a : a + self.BATCH]
+            got = self.tokenizer.encode_batch_fast([words[k] for k in part], add_special_tokens=False)
+            for k, n in zip(part, map(len, got), strict=True):
+                out[k] = self.keep(words[k], n)
         return out
 
 
+def distinct_words(words: pa.Array, counts: WordCounts, special: bool) -> np.ndarray:
+    """Counts of distinct words by their parts, which are fewer: a letter ends a part where a mark or a digit follows, as
+    it ends a piece."""
+    if special or not counts.splits:
+        return counts(words.to_pylist())
+    parts = pc.split_pattern(pc.replace_substring_regex(words, PART_END, r"\1 \2"), " ")
+    each = parts.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(words)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+    size = counts(each.dictionary.to_pylist())[each.indices.to_numpy(zero_copy_only=False)]
+    return np.bincount(owner, weights=size, minlength=len(words)).astype(np.int64)
+
+
 def counted_words(texts: pa.Array, counts: WordCounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every word of the texts, one text after the other: its tokens, whether it is a word (a blank text splits into an
     empty one), and the text it is in."""
     plain = pc.fill_null(texts.cast(pa.large_string()), "")
-    if not pc.any(pc.match_substring(plain, SPECIAL)).as_py():
+    special = pc.any(pc.match_substring(plain, SPECIAL)).as_py()
+    if not special:
         plain = lowered(plain)  # as the tokenizer does, but before the words are told apart
     split = pc.ascii_split_whitespace(pc.utf8_trim(plain, characters=BLANKS))
     each = split.flatten().dictionary_encode()
     of = each.indices.to_numpy(zero_copy_only=False)
     real = pc.not_equal(each.dictionary, "").to_numpy(zero_copy_only=False)[of]
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
-    return counts(each.dictionary.to_pylist())[of], real, owner
+    return distinct_words(each.dictionary, counts, special)[of], real, owner
 
 
 def word_counts(key: str, file: str) -> WordCounts:

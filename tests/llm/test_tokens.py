@@ -45,6 +45,58 @@ def test_words_are_the_sums_of_their_pieces(words):
     assert [int(each[owner == i].sum()) for i in range(4)] == [len(encode(t or "")[0]) for t in texts]
 
 
+class Recorded:
+    """The tokenizer, and what its model and its whole encoding were asked for."""
+
+    def __init__(self):
+        self.asked, self.whole = [], []
+        self.model, self.normalizer, self.pre_tokenizer = self, TOKENIZER.normalizer, TOKENIZER.pre_tokenizer
+
+    def tokenize(self, piece):
+        self.asked.append(piece)
+        return TOKENIZER.model.tokenize(piece)
+
+    def encode_batch_fast(self, words, add_special_tokens):
+        self.whole += words
+        return TOKENIZER.encode_batch_fast(words, add_special_tokens=add_special_tokens)
+
+
+def test_a_spelling_of_a_known_word_is_not_encoded_again():
+    made = Recorded()
+    text = "thin thin. thin,&&& thin%%% THIN! schön schön. Schön, книга книга; don't don't. \u00e9t\u00e9,x"
+    each, *_ = tokens.counted_words(pa.array([text, " ", None]), tokens.WordCounts(made))
+    assert int(each.sum()) == len(encode(text)[0])
+    assert made.whole == [] and len(made.asked) == len(set(made.asked)) and made.asked.count("thin") == 1
+
+
+def test_what_was_met_last_stays_known():
+    made = Recorded()
+    counts = tokens.WordCounts(made)
+    counts.KNOWN_WORDS = 8
+    for n in range(50):
+        counts(["the", "word" + "abcdefghij"[n % 10] * (1 + n // 10)])
+        assert len(counts.known) + len(counts.older) <= 8
+    assert made.asked.count("the") == 1 and len(made.asked) == 51
+
+
+def test_every_letter_is_one_to_the_tokenizer():
+    spell = TOKENIZER.pre_tokenizer.pre_tokenize_str
+    for c in tokens.LETTERS:
+        assert len(spell(f"a{c}b")) == 1 and TOKENIZER.normalizer.normalize_str(f"a{c}.") == f"a{c.lower()}."
+    words = [f"{a}{c}{b}" for c in tokens.LETTERS for a, b in (("", ""), ("x", "'s"), ("7", "é."), ("(", "\u0301"), ("", "\u0323,"))]
+    assert tokens.WordCounts(TOKENIZER)(words).tolist() == [len(encode(w)[0]) for w in words]
+
+
+SPELT = ["a", "É", "ß", "q", "İ", "ŉ", "Ж", "й", "Σ", "日", "'", "'s", "’", ".", "<", "=", "|", "7", "½", "ª", "\u0301", "\u0338", "\u0323", "\xa0", "\x85", "\x1c", "\u200b", " ", "\n"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SPELT), max_size=40).map("".join), min_size=1, max_size=5))
+def test_parts_of_words_make_the_counts_of_texts(texts):
+    each, _, owner = tokens.counted_words(pa.array(texts), tokens.WordCounts(TOKENIZER))
+    assert [int(each[owner == i].sum()) for i in range(len(texts))] == [len(encode(t)[0]) for t in texts]
+
+
 DENSE = ["日本語", "文章", "。", "，", "a", "B", "7", "=", "+", "/", "́", "²", "é", "'s", "'", "x,y", "(", "½", "\u0338", "K", "ﬁ"]
 
 
